@@ -1,0 +1,5 @@
+"""No streaming operator is defined: the feature set is batch only.
+
+The column expressions in :mod:`lexispark.functions` are narrow and stateless, so they
+work unchanged on a streaming DataFrame.
+"""
