@@ -113,6 +113,9 @@ def wide_confusion(matrix: DataFrame, labels: list, value: str = "n") -> DataFra
 
 # Threshold curves --------------------------------------------------------------------------------
 
+# Sums in another order differ in the last bits; scores equal to this many digits are ties.
+TIE_DIGITS = 12
+
 
 def class_scores(scored: DataFrame, classes: list, by: Sequence[str] = (), limit: int | None = None) -> DataFrame:
     """``(*by, class, score, pos, neg)`` summed per distinct score.
@@ -122,11 +125,14 @@ def class_scores(scored: DataFrame, classes: list, by: Sequence[str] = (), limit
     """
     probability = F.col("probability")
     if len(classes) == 2:
-        entries = F.array(F.struct(F.lit(classes[1]).alias("class"), probability[1].alias("score")))
+        entries = F.array(F.struct(F.lit(classes[1]).alias("class"), F.round(probability[1], TIE_DIGITS).alias("score")))
     else:
         chosen = classes[:limit] if limit else classes
         entries = F.array(
-            *[F.struct(F.lit(c).alias("class"), probability[i].alias("score")) for i, c in enumerate(chosen)]
+            *[
+                F.struct(F.lit(c).alias("class"), F.round(probability[i], TIE_DIGITS).alias("score"))
+                for i, c in enumerate(chosen)
+            ]
         )
     positive = F.col("label") == F.col("e.class")
     sums = (

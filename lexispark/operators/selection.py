@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import time
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
@@ -11,8 +12,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from ..functions.arrays import argmax
+from ..functions.arrays import argmax, let
 from ..session import materialise
 from .labels import ClassSize, balanced_weights, class_sizes, class_table, label_at
 from .lookup import MAX_BROADCAST_ROWS
@@ -118,8 +120,22 @@ def with_class_weights(docs: DataFrame, label: str = "label", sizes: list[ClassS
 # Naive Bayes: all grid points and folds in one pass ----------------------------------------------
 
 
-def _safe_log(x: Column) -> Column:
-    return F.when(x > 0, F.log(x)).otherwise(F.lit(float("-inf")))
+def _log_shares(counts: np.ndarray, fit_prior: bool) -> list[float]:
+    """Log priors of one fit; a class it has not seen can never be predicted."""
+    total, seen = counts.sum(), int((counts > 0).sum())
+    return [
+        -math.inf if n == 0 else math.log(n / total) if fit_prior else -math.log(seen) for n in counts.tolist()
+    ]
+
+
+def _predicted(points: Column, classes: list, dtype: DataType) -> Column:
+    """Label of the highest ``s - w * den + prior`` for a point with arrays in class order."""
+    m = len(classes)
+    # a document without known terms has no sums
+    filled = F.when(F.col("s").isNull(), F.array_repeat(F.lit(0.0), m)).otherwise(F.slice("s", points["at"] + 1, m))
+    weight = F.coalesce("w", F.lit(0.0))
+    reduced = F.zip_with(filled, points["den"], lambda s, d: s - weight * d)
+    return label_at(argmax(F.zip_with(reduced, points["prior"], lambda s, p: s + p)), classes, dtype)
 
 
 def naive_bayes_grid(
@@ -142,76 +158,76 @@ def naive_bayes_grid(
     grid = grid or NAIVE_BAYES_GRID
     sizes = sizes or class_sizes(docs, key=key)
     classes = [c.label for c in sizes]
-    alphas, priors, m = grid["alpha"], grid["fit_prior"], len(classes)
-    folds = docs.select(key, "fold")
-    rows = features.join(folds, key)
-
-    cell = [
-        F.sum(F.when((F.col("fold") == f) & (F.col("label") == F.lit(c)), F.col("weight")).otherwise(0.0))
-        for f in range(k)
-        for c in classes
-    ]
-    sums = rows.groupBy("idx").agg(F.array(*cell).alias("n"))
+    alphas, m = [float(a) for a in grid["alpha"]], len(classes)
+    rows = features.select(key, "idx", "weight").join(docs.select(key, "label", "fold"), key)
+
+    def sums_of(condition) -> list[Column]:
+        return [F.sum(F.when(condition & (F.col("label") == F.lit(c)), F.col("weight")).otherwise(0.0)) for c in classes]
 
-    def trained(n: Column, f: int, i: int) -> Column:
-        return sum((n[g * m + i] for g in range(k) if g != f), F.lit(0.0))
+    # one row per term: its weight per fold and class, and per class
+    per_fold = [x for f in range(k) for x in sums_of(F.col("fold") == f)]
+    sums = materialise(
+        rows.groupBy("idx").agg(F.array(*per_fold).alias("n"), F.array(*sums_of(F.lit(True))).alias("all"))
+    )
 
-    # one row per (fold, term): log numerators for every smoothing value and class
-    def numerators(f: int) -> Column:
-        n = F.col("n")
+    def numerators(f: Column) -> Column:
+        held_in = F.zip_with("all", F.slice("n", f * m + 1, m), lambda a, x: F.greatest(a - x, F.lit(0.0)))
+        smooth = F.array(*map(F.lit, alphas))
         if variant == "multinomial":
-            values = [F.log(trained(n, f, i) + F.lit(a)) for a in alphas for i in range(m)]
+            logs = let(held_in, lambda t: F.transform(smooth, lambda a: F.transform(t, lambda x: F.log(x + a))))
         else:
-            rest = [sum((trained(n, f, j) for j in range(m) if j != i), F.lit(0.0)) for i in range(m)]
-            values = [-F.log(rest[i] + F.lit(a)) for a in alphas for i in range(m)]
-        return F.struct(F.lit(f).alias("fold"), F.array(*values).alias("logp"))
-
-    table = sums.select("idx", F.explode(F.array(*[numerators(f) for f in range(k)])).alias("e")).select(
-        "idx", "e.fold", "e.logp"
-    )
+            total = lambda t: F.aggregate(t, F.lit(0.0), lambda acc, x: acc + x)
+            logs = let(
+                held_in,
+                lambda t: let(
+                    total(t), lambda w: F.transform(smooth, lambda a: F.transform(t, lambda x: -F.log(w - x + a)))
+                ),
+            )
+        return F.struct(f.alias("fold"), F.flatten(logs).alias("logp"))
+
+    table = sums.select("idx", F.explode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), numerators)).alias("e"))
+    table = table.select("idx", "e.fold", "e.logp")
     bound = max_features * k if max_features and max_features * k <= MAX_BROADCAST_ROWS else None
     scores = weighted_sums(rows, table, len(alphas) * m, [key, "fold"], ["idx", "fold"], max_rows=bound)
 
-    totals = sums.agg(F.array(*[F.sum(F.col("n")[i]) for i in range(k * m)]).alias("t")).scalar()
-    counts = docs.agg(
-        F.array(
-            *[F.count_if((F.col("fold") == f) & (F.col("label") == F.lit(c))) for f in range(k) for c in classes]
-        ).alias("c")
-    ).scalar()
-
-    joined = (
-        docs.select(key, "label", "fold")
-        .join(scores.drop("fold"), key, "left")
-        .withColumns({"t": totals, "c": counts, "v": F.lit(n_features)})
-    )
-
-    def held_in(array: str, i: int) -> Column:
-        """Sum of class ``i`` over the folds other than the row's own."""
-        whole = sum((F.col(array)[g * m + i] for g in range(1, k)), F.col(array)[i])
-        return whole - F.get(F.col(array), F.col("fold") * m + i)
-
-    def point(a: int, fit_prior: bool) -> Column:
-        alpha = F.lit(float(alphas[a]))
-        n_docs = sum((held_in("c", i) for i in range(1, m)), held_in("c", 0))
-        present = sum((F.when(held_in("c", i) > 0, 1).otherwise(0) for i in range(m)), F.lit(0))
-        everything = sum((held_in("t", i) for i in range(1, m)), held_in("t", 0))
-        joint = []
-        for i in range(m):
-            score = F.coalesce(F.col("s")[a * m + i], F.lit(0.0))
-            weight = F.coalesce(F.col("w"), F.lit(0.0))
+    # k times m numbers each, whatever the size of the data
+    weights = np.array(sums.agg(F.array(*[F.sum(F.col("n")[i]) for i in range(k * m)])).first()[0]).reshape(k, m)
+    found = docs.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()
+    counts = np.zeros((k, m))
+    for r in found:
+        counts[r.fold, classes.index(r.label)] = r.n
+    points = []
+    for f in range(k):
+        held_in, seen = weights.sum(0) - weights[f], counts.sum(0) - counts[f]
+        for a, alpha in enumerate(alphas):
             if variant == "multinomial":
-                score = score - weight * F.log(held_in("t", i) + alpha * F.col("v"))
-                prior = _safe_log(held_in("c", i) / n_docs) if fit_prior else -F.log(present)
-                score = score + prior
+                den = np.log(held_in + alpha * n_features)
             else:
-                score = score + weight * F.log(everything - held_in("t", i) + alpha * F.col("v"))
-            joint.append(F.when(held_in("c", i) > 0, score).otherwise(F.lit(float("-inf"))))
-        prediction = label_at(argmax(F.array(*joint)), classes, docs.schema["label"].dataType)
-        return F.struct(alpha.alias("alpha"), F.lit(fit_prior).alias("fit_prior"), prediction.alias("prediction"))
+                den = -np.log(held_in.sum() - held_in + alpha * n_features)
+            for fit_prior in grid["fit_prior"]:
+                prior = _log_shares(seen, fit_prior)
+                if variant == "complement":
+                    prior = [-math.inf if p == -math.inf else 0.0 for p in prior]
+                points.append((f, alpha, fit_prior, a * m, den.tolist(), prior))
+    points = docs.sparkSession.createDataFrame(
+        points, "fold int, alpha double, fit_prior boolean, at int, den array<double>, prior array<double>"
+    )
+    points = points.groupBy("fold").agg(F.collect_list(F.struct("alpha", "fit_prior", "at", "den", "prior")).alias("points"))
 
-    points = [point(a, p) for a in range(len(alphas)) for p in priors]
-    scored = joined.select("label", "fold", F.explode(F.array(*points)).alias("e")).select("label", "fold", "e.*")
     by = ["alpha", "fit_prior", "fold"]
+    scored = (
+        docs.select(key, "label", "fold")
+        .join(scores.drop("fold"), key, "left")
+        .join(F.broadcast(points), "fold")
+        .select("label", "fold", "s", "w", F.explode("points").alias("p"))
+        .select(
+            "label",
+            "fold",
+            "p.alpha",
+            "p.fit_prior",
+            _predicted(F.col("p"), classes, docs.schema["label"].dataType).alias("prediction"),
+        )
+    )
     return summary(scored, by).select(*by, F.col("f1_score").alias("f1"))
 
 
@@ -250,65 +266,62 @@ def naive_bayes_curve(
     sizes = sizes or class_sizes(docs, key=key)
     classes = [c.label for c in sizes]
     m = len(classes)
-    first_fold = sum(
-        (cuts[0] if cuts else 0) for _, cuts in fold_cuts(sizes, k)
-    )
+    first_fold = sum(cuts[0] for _, cuts in fold_cuts(sizes, k))
     steps = curve_sizes(sum(c.n for c in sizes) - first_fold, shares)
     r = len(steps)
 
     sums = {"_all": F.lit(1), **{f"_f{f}": (F.col("fold") == f).cast("int") for f in range(k)}}
     ranked = running_sums(docs.select(key, "label", "fold").withColumn("_g", F.lit(0)), ["_g"], key, sums)
-    uses = F.array(*[F.struct(F.lit(f).alias("held_out"), (F.col("_all") - F.col(f"_f{f}")).alias("rank")) for f in range(k)])
+    uses = [F.struct(F.lit(f).alias("held_out"), (F.col("_all") - F.col(f"_f{f}")).alias("rank")) for f in range(k)]
+    first = F.size(F.filter(F.array(*map(F.lit, steps)), lambda s: s < F.col("u.rank")))
     # one row per document and held-out fold; `first` is the first step that trains on it
-    roles = ranked.select(key, "label", "fold", F.explode(uses).alias("u")).select(
-        key,
-        "label",
-        "u.held_out",
-        F.when(F.col("fold") == F.col("u.held_out"), F.lit(-1))
-        .otherwise(F.size(F.filter(F.array(*map(F.lit, steps)), lambda s: s < F.col("u.rank"))))
-        .alias("first"),
+    roles = materialise(
+        ranked.select(key, "label", "fold", F.explode(F.array(*uses)).alias("u")).select(
+            key,
+            "label",
+            "u.held_out",
+            F.when(F.col("fold") == F.col("u.held_out"), F.lit(-1)).otherwise(first).alias("first"),
+        )
     )
     rows = features.select(key, "idx", "weight").join(roles, key)
 
-    trains = lambda s: (F.col("first") >= 0) & (F.col("first") <= s)
-    of_class = lambda s, c: trains(s) & (F.col("label") == F.lit(c))
-    cells = [(s, c) for s in range(r) for c in classes]
-    sums_by_term = rows.groupBy("held_out", "idx").agg(
-        F.array(*[F.sum(F.when(of_class(s, c), F.col("weight")).otherwise(0.0)) for s, c in cells]).alias("n")
-    )
-    table = sums_by_term.select(
-        "held_out", "idx", F.array(*[F.log(F.col("n")[i] + F.lit(alpha)) for i in range(r * m)]).alias("logp")
+    cells = [
+        (F.col("first") >= 0) & (F.col("first") <= s) & (F.col("label") == F.lit(c)) for s in range(r) for c in classes
+    ]
+    by_term = materialise(
+        rows.groupBy("held_out", "idx").agg(
+            F.array(*[F.sum(F.when(cell, F.col("weight")).otherwise(0.0)) for cell in cells]).alias("n")
+        )
     )
+    table = by_term.select("held_out", "idx", F.transform("n", lambda x: F.log(x + F.lit(float(alpha)))).alias("logp"))
     bound = max_features * k if max_features and max_features * k <= MAX_BROADCAST_ROWS else None
     scores = weighted_sums(rows, table, r * m, [key, "held_out"], ["held_out", "idx"], max_rows=bound)
-    # k rows each
-    totals = sums_by_term.groupBy("held_out").agg(F.array(*[F.sum(F.col("n")[i]) for i in range(r * m)]).alias("t"))
-    counts = roles.groupBy("held_out").agg(F.array(*[F.count_if(of_class(s, c)) for s, c in cells]).alias("c"))
-    joined = (
-        roles.join(scores, [key, "held_out"], "left")
-        .join(F.broadcast(totals), "held_out")
-        .join(F.broadcast(counts), "held_out")
-        .withColumn("v", F.lit(n_features))
-    )
-
-    def point(s: int) -> Column:
-        count = [F.col("c")[s * m + i] for i in range(m)]
-        n_docs = sum(count[1:], count[0])
-        present = sum((F.when(c > 0, 1).otherwise(0) for c in count), F.lit(0))
-        joint = []
-        for i in range(m):
-            j = s * m + i
-            score = F.coalesce(F.col("s")[j], F.lit(0.0))
-            score = score - F.coalesce(F.col("w"), F.lit(0.0)) * F.log(F.col("t")[j] + F.lit(alpha) * F.col("v"))
-            prior = _safe_log(count[i] / n_docs) if fit_prior else -F.log(present)
-            joint.append(F.when(count[i] > 0, score + prior).otherwise(F.lit(float("-inf"))))
-        part = F.when(F.col("first") < 0, "test").when(F.col("first") <= s, "train")
-        prediction = label_at(argmax(F.array(*joint)), classes, docs.schema["label"].dataType)
-        return F.struct(F.lit(steps[s]).cast("bigint").alias("train_size"), part.alias("part"), prediction.alias("prediction"))
 
+    # k rows of r times m numbers each, whatever the size of the data
+    totals = by_term.groupBy("held_out").agg(F.array(*[F.sum(F.col("n")[i]) for i in range(r * m)]).alias("t"))
+    counts = roles.groupBy("held_out").agg(F.array(*[F.count_if(cell) for cell in cells]).alias("c"))
+    points = []
+    for row in totals.join(counts, "held_out").collect():
+        weight, seen = np.array(row.t).reshape(r, m), np.array(row.c).reshape(r, m)
+        for s in range(r):
+            den = np.log(weight[s] + alpha * n_features).tolist()
+            points.append((row.held_out, s, steps[s], s * m, den, _log_shares(seen[s], fit_prior)))
+    schema = "held_out int, step int, train_size bigint, at int, den array<double>, prior array<double>"
+    points = docs.sparkSession.createDataFrame(points, schema)
+    points = points.groupBy("held_out").agg(F.collect_list(F.struct("step", "train_size", "at", "den", "prior")).alias("points"))
+
+    part = F.when(F.col("first") < 0, "test").when(F.col("first") <= F.col("p.step"), "train")
     scored = (
-        joined.select("label", "held_out", F.explode(F.array(*[point(s) for s in range(r)])).alias("e"))
-        .select("label", F.col("held_out").alias("fold"), "e.*")
+        roles.join(scores, [key, "held_out"], "left")
+        .join(F.broadcast(points), "held_out")
+        .select("label", "held_out", "first", "s", "w", F.explode("points").alias("p"))
+        .select(
+            "label",
+            F.col("held_out").alias("fold"),
+            "p.train_size",
+            part.alias("part"),
+            _predicted(F.col("p"), classes, docs.schema["label"].dataType).alias("prediction"),
+        )
         .where(F.col("part").isNotNull())
     )
     f1 = summary(scored, ["train_size", "fold", "part"])

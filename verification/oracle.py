@@ -125,7 +125,7 @@ def curves(source: str = "scored_p", only: str = "true", by: str = "") -> str:
     """Cumulative counts per class from the highest score down."""
     g = f"{by}, " if by else ""
     return f"""
-tied AS (SELECT {g}class, p AS score, count(*) FILTER (label = class) AS pos, count(*) FILTER (label <> class) AS neg
+tied AS (SELECT {g}class, round(p, 12) AS score, count(*) FILTER (label = class) AS pos, count(*) FILTER (label <> class) AS neg
   FROM {source} WHERE {only} GROUP BY ALL),
 cum AS MATERIALIZED (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER a AS tp_total,
   sum(neg) OVER a AS fp_total, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg,
