@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +14,13 @@ from lexispark.functions.stopwords import load_stopwords
 from lexispark.operators import corpus_stats as cs
 from lexispark.operators import metrics as mt
 from lexispark.operators import selection as sel
+from lexispark.operators.classifiers import CLASSIFIERS, RUN_PARAMETERS
 from lexispark.operators.features import FeatureExtractor, shapes
 from lexispark.operators.labels import balanced_weights, class_sizes, class_table
 from lexispark.operators.naive_bayes import NaiveBayes
+from lexispark.operators.projection import project
 from lexispark.operators.tokens import drop_listed, lemmatize
+from lexispark.session import cached
 from lexispark.sources import corpus as io
 
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -611,3 +615,99 @@ def feature_correlation(spark, folder):
 @query
 def feature_correlation_lower(spark, folder):
     return cs.feature_correlation(*train_features(spark, folder), lower_only=True)
+
+
+# Spark ML models: iterative fits, checked by invariants in the tests ---------------------------------------
+
+
+def vectors(spark, folder):
+    """Training and test vectors of the rated documents, cached for the fits."""
+    docs = clean(rated(spark, folder))
+    extractor = fitted(docs)
+    return extractor, *(cached(extractor.vectors(part(docs, s), ["label"])) for s in ("train", "test"))
+
+
+def scored_by(spark, folder, name):
+    _, train, test = vectors(spark, folder)
+    model = CLASSIFIERS[name](**RUN_PARAMETERS[name]).fit(train)
+    return model.predict(test).select("doc_id", "label", "prediction", F.col("probability")[1].alias("probability"))
+
+
+@query
+def ml_vectors(spark, folder):
+    _, train, _ = vectors(spark, folder)
+    entries = vector_to_array("features")
+    return train.select("doc_id", "label", F.size(F.filter(entries, lambda x: x != 0)).alias("n_terms"))
+
+
+@query
+def decision_tree(spark, folder):
+    return scored_by(spark, folder, "decision_tree")
+
+
+@query
+def tree_nodes(spark, folder):
+    extractor, train, _ = vectors(spark, folder)
+    return CLASSIFIERS["decision_tree"](**RUN_PARAMETERS["decision_tree"]).fit(train).nodes(spark, extractor.vocabulary)
+
+
+@query
+def maxent(spark, folder):
+    return scored_by(spark, folder, "maxent")
+
+
+@query
+def maxent_coefficients(spark, folder):
+    extractor, train, _ = vectors(spark, folder)
+    model = CLASSIFIERS["maxent"](**RUN_PARAMETERS["maxent"]).fit(train)
+    table = model.feature_importance(spark, extractor.vocabulary).withColumn("model", F.lit("Maxent"))
+    return mt.top_importances(table)
+
+
+@query
+def linear_svm_calibrated(spark, folder):
+    return scored_by(spark, folder, "svm")
+
+
+@query
+def random_forest(spark, folder):
+    return scored_by(spark, folder, "random_forest")
+
+
+@query
+def forest_importances(spark, folder):
+    extractor, train, _ = vectors(spark, folder)
+    model = CLASSIFIERS["random_forest"](**RUN_PARAMETERS["random_forest"]).fit(train)
+    table = model.feature_importance(spark, extractor.vocabulary).withColumn("model", F.lit("Random Forest"))
+    return mt.top_importances(table)
+
+
+@query
+def grid_search_ml(spark, folder):
+    """Search over a part of the tree grid; the whole grid runs the same way."""
+    _, train, _ = vectors(spark, folder)
+    folds = sel.stratified_folds(train.select("doc_id", "label"))
+    rows = cached(train.join(folds.select("doc_id", "fold"), "doc_id"))
+    grid = sel.parameter_grid({"criterion": ["gini", "entropy"], "max_depth": [5], "min_samples_leaf": [1, 4]})
+    _, report = sel.grid_search(CLASSIFIERS["decision_tree"], rows, grid)
+    return report["cv_results"].select(
+        F.array_join(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("params"),
+        "fold",
+        "f1",
+    )
+
+
+def projected(spark, folder, method):
+    docs = clean(documents(spark, folder)).select("doc_id", "label", "tokens")
+    extractor = FeatureExtractor(max_features=300).fit(docs)
+    return project(extractor.transform(docs), docs, extractor.vectors(docs), method)
+
+
+@query
+def pca_projection(spark, folder):
+    return projected(spark, folder, "pca")
+
+
+@query
+def svd_projection(spark, folder):
+    return projected(spark, folder, "svd")
