@@ -23,7 +23,7 @@ def _shift_zip(grams: Column, tokens: Column, offset: int) -> Column:
     return F.zip_with(
         F.slice(grams, F.lit(1), n),
         F.slice(tokens, F.lit(offset + 1), n),
-        lambda g, t: F.concat_ws(" ", g, t),
+        lambda g, t: F.concat(g, F.lit(" "), t),
     )
 
 

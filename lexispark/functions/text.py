@@ -56,12 +56,14 @@ def _fold_tables() -> tuple[str, str, str, tuple[str, ...]]:
     return "".join(source + marks), "".join(target), "".join(wide), tuple(expansion)
 
 
-def _class_of(chars: str) -> str:
-    """A regular-expression class matching ``chars``, written as code-point ranges."""
-    codes = sorted(map(ord, chars))
+def _class_around(chars: str, gap: int = 32) -> str:
+    """A short regular-expression class that covers ``chars`` and may hold a few neighbours.
+
+    It only decides which rows take the slow path, where other characters map to themselves.
+    """
     ranges: list[list[int]] = []
-    for code in codes:
-        if ranges and code == ranges[-1][1] + 1:
+    for code in sorted(map(ord, chars)):
+        if ranges and code <= ranges[-1][1] + gap:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
@@ -103,20 +105,28 @@ def _expand_hangul(text: Column) -> Column:
     )
 
 
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def fold_unicode(text: Column) -> Column:
-    """NFKD with the combining marks dropped. Plain ASCII rows skip every table."""
+    """NFKD with the combining marks dropped. Rows of plain ASCII skip every table.
+
+    Most Latin texts are ASCII after the one-to-one folds; only the others are searched for
+    characters that decompose into several.
+    """
     source, target, wide, _ = _fold_tables()
 
-    def fold(c: Column) -> Column:
+    def expand(c: Column) -> Column:
         return let(
-            F.translate(c, source, target),
-            lambda t: let(
-                F.when(t.rlike(_class_of(wide)), _expand_wide(t)).otherwise(t),
-                lambda u: F.when(u.rlike(r"[\x{AC00}-\x{D7A3}]"), _expand_hangul(u)).otherwise(u),
-            ),
+            F.when(c.rlike(_class_around(wide)), _expand_wide(c)).otherwise(c),
+            lambda u: F.when(u.rlike(r"[\x{AC00}-\x{D7A3}]"), _expand_hangul(u)).otherwise(u),
         )
 
-    return let(text, lambda c: F.when(c.rlike(r"[^\x00-\x7F]"), fold(c)).otherwise(c))
+    def fold(c: Column) -> Column:
+        return let(F.translate(c, source, target), lambda t: F.when(_is_ascii(t), t).otherwise(expand(t)))
+
+    return let(text, lambda c: F.when(_is_ascii(c), c).otherwise(fold(c)))
 
 
 def lower_text(text: Column) -> Column:

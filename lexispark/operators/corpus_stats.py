@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import split_blank
+from ..session import materialise
 from .lookup import lookup_join
 
 HISTOGRAM_BINS = 50
@@ -152,7 +153,7 @@ def feature_correlation(
     paired inside the row, so the pairs need no self-join and are summed before the shuffle.
     ``lower_only`` keeps one triangle, by term order, without the diagonal.
     """
-    top = most_variable(features, n_docs, top_n)
+    top = materialise(most_variable(features, n_docs, top_n))
     chosen = lookup_join(features.select(key, "idx", "weight"), top.select("idx", "term"), "idx", salt_by=key, max_rows=top_n)
     per_doc = chosen.groupBy(key).agg(F.collect_list(F.struct("term", "weight")).alias("t"))
     pairs = F.flatten(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 
@@ -77,25 +78,18 @@ class NaiveBayes:
         k = len(self.classes)
         self.max_features = max_features
         self._set_prior(sizes)
-        counts = class_sums(features, self.classes, label=label)
-        total = counts.agg(F.struct(F.count("*").alias("v"), array_sums("n", k).alias("n")).alias("t")).scalar()
-        rows = counts.withColumn("t", total)
-        alpha = F.lit(self.alpha)
+        # one row per vocabulary term, read again by every prediction
+        counts = materialise(class_sums(features, self.classes, label=label))
+        n_terms, sums = counts.agg(F.count("*"), array_sums("n", k)).first()
+        n = [F.col("n")[i] for i in range(k)]
         if self.variant == "multinomial":
-            logp = [
-                F.log(F.col("n")[i] + alpha) - F.log(F.col("t.n")[i] + alpha * F.col("t.v")) for i in range(k)
-            ]
+            smoothed = [math.log(x + self.alpha * n_terms) for x in sums]
+            logp = [F.log(n[i] + F.lit(self.alpha)) - F.lit(smoothed[i]) for i in range(k)]
         else:
-            term_total = sum((F.col("n")[i] for i in range(1, k)), F.col("n")[0])
-            all_total = sum((F.col("t.n")[i] for i in range(1, k)), F.col("t.n")[0])
-            logp = [
-                -F.log(
-                    (term_total + alpha - F.col("n")[i]) / (all_total + alpha * F.col("t.v") - F.col("t.n")[i])
-                )
-                for i in range(k)
-            ]
-        # one row per vocabulary term, read again by every prediction
-        self.table = materialise(rows.select("idx", "term", F.array(*logp).alias("logp")))
+            term_total = sum(n[1:], n[0]) + F.lit(self.alpha)
+            rest = [sum(sums) + self.alpha * n_terms - x for x in sums]
+            logp = [-F.log((term_total - n[i]) / F.lit(rest[i])) for i in range(k)]
+        self.table = counts.select("idx", "term", F.array(*logp).alias("logp"))
         self.training_time = time.time() - start
         return self
 
