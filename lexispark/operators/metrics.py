@@ -152,7 +152,10 @@ def _cumulative(scores: DataFrame, by: Sequence[str], following: dict | None = N
 
 
 def roc_points(scores: DataFrame, by: Sequence[str] = (), drop_intermediate: bool = True) -> DataFrame:
-    """False and true positive rates, from (0, 0); points on a straight run are left out."""
+    """False and true positive rates, from (0, 0); points on a straight run are left out.
+
+    A rate is null where the class has no negatives or no positives.
+    """
     rows = _cumulative(scores, by, {"_pos": "pos", "_neg": "neg"})
     if drop_intermediate:
         first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
@@ -163,8 +166,8 @@ def roc_points(scores: DataFrame, by: Sequence[str] = (), drop_intermediate: boo
         *by,
         "class",
         F.col("score").alias("threshold"),
-        (F.col("fp") / F.col("fp_total")).alias("fpr"),
-        (F.col("tp") / F.col("tp_total")).alias("tpr"),
+        F.try_divide("fp", "fp_total").alias("fpr"),
+        F.try_divide("tp", "tp_total").alias("tpr"),
     )
     zero, nothing = F.lit(0.0), F.lit(None).cast("double")
     origin = scores.select(*by, "class").distinct()

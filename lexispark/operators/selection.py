@@ -18,7 +18,7 @@ from ..functions.arrays import argmax, let
 from ..session import materialise
 from .labels import ClassSize, balanced_weights, class_sizes, class_table, label_at
 from .lookup import MAX_BROADCAST_ROWS
-from .metrics import summary, summary_of
+from .metrics import summary
 from .naive_bayes import weighted_sums
 from .ordered import row_numbers, running_sums
 
@@ -341,10 +341,12 @@ def parameter_grid(axes: dict[str, list], valid: Callable[[dict], bool] = lambda
     return [p for p in points if valid(p)]
 
 
-def _fold_f1(model_of: Callable, params: dict, train: DataFrame, test: DataFrame) -> float:
-    scored = model_of(**params).fit(train).predict(test)
-    row = summary_of(scored.groupBy("label", "prediction").agg(F.count("*").alias("n"))).first()
-    return row.f1_score
+def _f1_on(model_of: Callable, params: dict, train: DataFrame, parts: Sequence[DataFrame]) -> list[float | None]:
+    """Weighted F1 on every part; no scores where the rows cannot be fitted (a single class)."""
+    if train.select("label").distinct().limit(2).count() < 2:
+        return [None] * len(parts)
+    model = model_of(**params).fit(train)
+    return [summary(model.predict(part)).first().f1_score for part in parts]
 
 
 def grid_search(
@@ -366,7 +368,7 @@ def grid_search(
     def run(task):
         i, f = task
         held_out = F.col("fold") == f
-        return _fold_f1(model_of, grid[i], vectors.where(~held_out), vectors.where(held_out))
+        return _f1_on(model_of, grid[i], vectors.where(~held_out), [vectors.where(held_out)])[0]
 
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
         scores = pool.map(run, tasks)
@@ -375,8 +377,8 @@ def grid_search(
         ({name: str(value) for name, value in grid[i].items()}, i, f, score) for (i, f), score in zip(tasks, scores)
     ]
     results = spark.createDataFrame(rows, "params map<string,string>, point int, fold int, f1 double")
-    means = np.array(scores).reshape(len(grid), k).mean(axis=1)
-    best = int(np.argmax(np.round(means, 12)))
+    means = np.array(scores, dtype=float).reshape(len(grid), k).mean(axis=1)
+    best = int(np.argmax(np.nan_to_num(np.round(means, 12), nan=-1.0)))
     model = model_of(**grid[best]).fit(vectors)
     report = {
         "best_params": grid[best],
@@ -405,10 +407,7 @@ def learning_curve(
     def run(task):
         size, f = task
         train = vectors.where(F.col("fold") != f).orderBy(key).limit(size)
-        model = model_of().fit(train)
-        parts = [
-            summary(model.predict(part)).first().f1_score for part in (train, vectors.where(F.col("fold") == f))
-        ]
+        parts = _f1_on(model_of, {}, train, [train, vectors.where(F.col("fold") == f)])
         return size, f, *parts
 
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:

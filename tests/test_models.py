@@ -135,7 +135,7 @@ def test_min_samples_split_cuts_small_nodes(spark):
 
 def test_multiclass_svm_and_maxent_importances(spark):
     data = noisy(spark)
-    svm = cl.LinearSVM(max_iter=30).fit(data)
+    svm = cl.LinearSVM(max_iter=10).fit(data)
     assert len(svm.models) == 15
     for model in (svm, cl.MaxEnt().fit(data)):
         assert {r["class"] for r in model.feature_importance(spark).select("class").distinct().collect()} == {"Class_a", "Class_b", "Class_c"}
@@ -153,6 +153,9 @@ def test_grid_search_and_curve(spark):
     means = {r.point: r.m for r in report["cv_results"].groupBy("point").agg(F.avg("f1").alias("m")).collect()}
     assert abs(max(means.values()) - report["best_score"]) < 1e-9
     assert model.get_params()["max_depth"] == report["best_params"]["max_depth"]
+    one_class = folded.withColumn("label", F.when(F.col("doc_id") < 150, "a").otherwise(F.col("label")))
+    first = {r.train_f1 for r in sel.learning_curve(cl.DecisionTree, one_class, (0.3,), 3).collect()}
+    assert None in first  # the first rows of some folds are all of one class
     curve = sel.learning_curve(lambda: cl.DecisionTree(max_depth=3), folded, (0.5, 1.0), 3)
     assert curve.count() == 6 and curve.where("train_f1 between 0 and 1 and test_f1 between 0 and 1").count() == 6
 
