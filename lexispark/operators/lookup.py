@@ -7,10 +7,13 @@ the token rows of one key are spread over the salts, so no task gets all rows of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_NUMBERS = 20_000_000  # array elements over all rows, 160 MB of doubles
 SALTS = 32
 
 
@@ -22,21 +25,24 @@ def fits_broadcast(lookup: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
-    on: str,
+    on: str | Sequence[str],
     how: str = "inner",
     salt_by: Column | str = "doc_id",
     max_rows: int | None = None,
+    width: int = 1,
     limit: int = MAX_BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` on ``on``.
 
     ``max_rows`` is a bound the caller can prove (a vocabulary limit); without one the lookup
-    is counted before it may be broadcast.
+    is counted before it may be broadcast. ``width`` is the length of a row's longest array.
     """
+    limit = min(limit, MAX_BROADCAST_NUMBERS // width)
+    on = [on] if isinstance(on, str) else list(on)
     small = max_rows <= limit if max_rows is not None else fits_broadcast(lookup, limit)
     if small:
         return rows.join(F.broadcast(lookup), on, how)
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(repeated.hint("shuffle_merge"), [on, "_salt"], how).drop("_salt")
+    return salted_rows.join(repeated.hint("shuffle_merge"), [*on, "_salt"], how).drop("_salt")

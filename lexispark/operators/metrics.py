@@ -69,7 +69,8 @@ def summary_of(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def class_report(scored: DataFrame) -> DataFrame:
     """One row per class, then accuracy, macro average and weighted average."""
-    rows = class_metrics(confusion_counts(scored))
+    # a row per pair of labels; classes and averages are both read from it
+    rows = class_metrics(materialise(confusion_counts(scored)))
     names = ("precision", "recall", "f1_score")
     per_class = rows.select(F.col("label").cast("string").alias("label"), *names, "support")
     total = F.sum("support")
@@ -92,7 +93,7 @@ def class_report(scored: DataFrame) -> DataFrame:
 
 def confusion_matrix(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Count and share of the true label for every pair of known labels, zeros included."""
-    cells = confusion_counts(scored, by)
+    cells = materialise(confusion_counts(scored, by))
     labels = class_metrics(cells, by).select(*by, "label")
     known = (labels.groupBy(*by) if by else labels).agg(F.collect_set("label").alias("labels"))
     grid = known.select(*by, "labels", F.explode("labels").alias("label")).select(

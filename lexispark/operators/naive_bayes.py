@@ -35,10 +35,7 @@ def weighted_sums(
     features: DataFrame, table: DataFrame, size: int, by: Sequence[str], on: Sequence[str] = ("idx",), max_rows=None
 ) -> DataFrame:
     """Per ``by`` group the sum of ``weight * logp`` for each element of ``logp``, and of ``weight``."""
-    if len(on) == 1:
-        joined = lookup_join(features, table, on[0], salt_by=by[0], max_rows=max_rows)
-    else:
-        joined = features.join(F.broadcast(table) if max_rows else table, list(on))
+    joined = lookup_join(features, table, on, salt_by=by[0], max_rows=max_rows, width=size)
     return joined.groupBy(*by).agg(
         F.array(*[F.sum(F.col("weight") * F.col("logp")[i]) for i in range(size)]).alias("s"),
         F.sum("weight").alias("w"),

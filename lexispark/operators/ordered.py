@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_RANGES = 256
+MAX_RANGES = 128
 _SAMPLES_PER_RANGE = 16
 
 
@@ -24,17 +24,23 @@ def with_range(df: DataFrame, order: str, n_ranges: int | None = None) -> DataFr
     if n_ranges is None:
         n_ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_ranges = max(2, min(n_ranges, MAX_RANGES))
-    sample = (
-        df.select(order)
-        .where(F.col(order).isNotNull())
-        .orderBy(F.xxhash64(order), order)
-        .limit(n_ranges * _SAMPLES_PER_RANGE)
+    wanted = n_ranges * _SAMPLES_PER_RANGE
+    sample = df.select(order).where(F.col(order).isNotNull()).orderBy(F.xxhash64(order), order).limit(wanted)
+    # a few thousand values at most, of which every n-th becomes a cut
+    values = sorted({row[0] for row in sample.collect()})
+    step = max(1, -(-len(values) // n_ranges))
+    cuts = values[step - 1 :: step]
+    return df.withColumn("_range", _search(F.col(order), cuts, 0))
+
+
+def _search(value: Column, cuts: list, first: int) -> Column:
+    """Number of cuts below ``value``, plus ``first``, by nested comparisons."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(value <= F.lit(cuts[middle]), _search(value, cuts[:middle], first)).otherwise(
+        _search(value, cuts[middle + 1 :], first + middle + 1)
     )
-    picked = sample.agg(F.array_sort(F.array_distinct(F.collect_list(order))).alias("v"))
-    step = F.greatest(F.ceil(F.size("v") / n_ranges), F.lit(1))
-    cuts = picked.select(F.filter("v", lambda x, i: F.pmod(i + 1, step) == 0)).scalar()
-    found = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
-    return df.withColumn("_cuts", cuts).select(*df.columns, found.alias("_range"))
 
 
 def running_sums(

@@ -187,7 +187,7 @@ def naive_bayes_grid(
 
     table = sums.select("idx", F.explode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), numerators)).alias("e"))
     table = table.select("idx", "e.fold", "e.logp")
-    bound = max_features * k if max_features and max_features * k <= MAX_BROADCAST_ROWS else None
+    bound = max_features * k if max_features else None
     scores = weighted_sums(rows, table, len(alphas) * m, [key, "fold"], ["idx", "fold"], max_rows=bound)
 
     # k times m numbers each, whatever the size of the data
@@ -294,7 +294,7 @@ def naive_bayes_curve(
         )
     )
     table = by_term.select("held_out", "idx", F.transform("n", lambda x: F.log(x + F.lit(float(alpha)))).alias("logp"))
-    bound = max_features * k if max_features and max_features * k <= MAX_BROADCAST_ROWS else None
+    bound = max_features * k if max_features else None
     scores = weighted_sums(rows, table, r * m, [key, "held_out"], ["held_out", "idx"], max_rows=bound)
 
     # k rows of r times m numbers each, whatever the size of the data

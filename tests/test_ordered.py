@@ -45,6 +45,9 @@ def test_salted_lookup_equals_broadcast(spark, how):
     assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.select(columns).collect()), key=str)
     plan = large._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+    # wide rows count with all their numbers
+    wide = lookup_join(rows, lookup, ["token"], how, max_rows=41, width=10_000_000, salts=5)
+    assert "BroadcastHashJoin" not in wide._jdf.queryExecution().executedPlan().toString()
 
 
 def test_token_tables(spark):
