@@ -24,7 +24,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM marked GROUP BY doc_id"""
 
 
-SQL = (op10_line_dedup,)
+def op7_decontamination() -> str:
+    words = "regexp_extract_all(" + fold("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {words} AS w FROM documents),
+b AS (SELECT item_id, {words} AS w FROM benchmark),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS win, least(len(w), 10) AS size
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS MATERIALIZED (
+  SELECT doc_id, i, size, list_slice(w, i, i + size - 1) AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+hits AS MATERIALIZED (SELECT doc_id, i, p.size, item_id FROM places p JOIN windows USING (win)),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(s.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(s.ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items s USING (doc_id)"""
+
+
+SQL = (op7_decontamination, op10_line_dedup,)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontam import contamination
 from .line_dedup import dedup_lines
 
 QUERIES = {}
@@ -15,6 +16,13 @@ def query(fn):
     return fn
 
 
+@query
+def op7_decontamination(spark, folder):
+    found = contamination(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
+
+
 @query
 def op10_line_dedup(spark, folder):
     docs = dedup_lines(table(spark, folder, "documents", "doc_id", "text"))
