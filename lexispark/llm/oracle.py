@@ -24,6 +24,23 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM marked GROUP BY doc_id"""
 
 
+def op4_near_dup() -> str:
+    words = "regexp_extract_all(" + fold("coalesce(text, '')") + r", '[^\x20\x09-\x0D]+')"
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {words} AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+items AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT r.a AS doc_id, len(any_value(s.s))::BIGINT AS n_shingles, min(r.b) AS component_id, min(r.b) = r.a AS kept
+FROM reach r JOIN sets s ON s.doc_id = r.a GROUP BY r.a"""
+
+
 def op7_decontamination() -> str:
     words = "regexp_extract_all(" + fold("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
@@ -44,7 +61,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items s USING (doc_id)"""
 
 
-SQL = (op7_decontamination, op10_line_dedup,)
+SQL = (op4_near_dup, op7_decontamination, op10_line_dedup,)
 
 
 def oracle_sql() -> dict[str, str]:

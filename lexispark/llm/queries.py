@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontam import contamination
 from .line_dedup import dedup_lines
+from .near_dup import near_groups
 
 QUERIES = {}
 
@@ -16,6 +17,11 @@ def query(fn):
     return fn
 
 
+@query
+def op4_near_dup(spark, folder):
+    return near_groups(table(spark, folder, "documents", "doc_id", "text"))
+
+
 @query
 def op7_decontamination(spark, folder):
     found = contamination(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
