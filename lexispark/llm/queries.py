@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from .common import table
+from . import sentencepiece_units as units
+from . import token_records as records
+from .common import shared_folder, table
 from .decontam import contamination
 from .line_dedup import dedup_lines
 from .near_dup import near_groups
@@ -17,6 +20,26 @@ def query(fn):
     return fn
 
 
+@query
+def op1_token_records(spark, folder):
+    out = shared_folder(spark, "tokens")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    records.write_records(table(spark, folder, "documents", "doc_id", "text"), out, path, end_id=2)
+    return records.sequence_digests(records.read_records(spark, out))
+
+
+@query
+def op3_sentencepiece(spark, folder):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    back = units.decode(units.encode(docs, path), path)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), units.byte_pieces(F.col("ids"), path).alias("n_byte_pieces"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("text_sha256"), same.alias("exact"),
+    )
+
+
 @query
 def op4_near_dup(spark, folder):
     return near_groups(table(spark, folder, "documents", "doc_id", "text"))

@@ -194,8 +194,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, voc
                 places, tail = [], np.array([end_id], f"<u{width}").tobytes()
                 out = out or files.create(f"{folder}/data/{name}")
                 for i in range(hi - lo):
-                    k = keys[lo + i]
-                    record = framed(PAYLOAD.pack(k or 0, k is not None, width) + packed[cut[i] : cut[i + 1]].tobytes() + tail)
+                    record = framed(payload_of(keys[lo + i], width, packed[cut[i] : cut[i + 1]].tobytes() + tail))
                     out.write(record)
                     places.append(at)
                     at += len(record)
@@ -208,6 +207,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, voc
     return docs.sparkSession.read.schema(OFFSETS).parquet(f"{folder}/offsets")
 
 
+def payload_of(key: int | None, width: int, ids: bytes) -> bytes:
+    return PAYLOAD.pack(key or 0, key is not None, width) + ids
+
+
 def parsed(payload: bytes) -> tuple[int | None, np.ndarray]:
     """Document id and ids of a record."""
     key, has, width = PAYLOAD.unpack_from(payload)
