@@ -9,6 +9,7 @@ from . import sentencepiece_units as units
 from . import token_records as records
 from .common import shared_folder, table
 from .decontam import contamination
+from .language_id import languages
 from .line_dedup import dedup_lines
 from .near_dup import near_groups
 
@@ -52,6 +53,12 @@ def op7_decontamination(spark, folder):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
 
 
+@query
+def op9_language_id(spark, folder):
+    docs = languages(table(spark, folder, "documents", "doc_id", "text", "lang"))
+    return docs.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 @query
 def op10_line_dedup(spark, folder):
     docs = dedup_lines(table(spark, folder, "documents", "doc_id", "text"))
