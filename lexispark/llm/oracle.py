@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import quality
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -41,6 +43,41 @@ SELECT r.a AS doc_id, len(any_value(s.s))::BIGINT AS n_shingles, min(r.b) AS com
 FROM reach r JOIN sets s ON s.doc_id = r.a GROUP BY r.a"""
 
 
+def op5_quality_rules() -> str:
+    phrases = "|".join(p.decode() for p in quality.BOILERPLATE)
+    r = quality.Rules()
+    ends = "list_contains(['" + "','".join([*".!?:;,\"", "''", *")]}…”’»。！？"]) + "'], right(w[len(w)], 1))"
+
+    def chars(expr: str, kind: str) -> str:
+        return f"length(regexp_replace({expr}, '[^{kind}]', '', 'g'))"
+
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+words AS MATERIALIZED (SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+tri AS MATERIALIZED (SELECT doc_id, i, list_slice(w, i, i + 2) AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+again AS (SELECT doc_id, x FROM tri GROUP BY ALL HAVING count(*) >= 2),
+covered AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS k FROM tri JOIN again USING (doc_id, x)) GROUP BY doc_id),
+lines AS MATERIALIZED (
+  SELECT doc_id, line, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE len(w) > 0 GROUP BY doc_id),
+marks AS (
+  SELECT doc_id, line, w, len(w) AS n, {chars('line', '#*$%&|<>')} AS symbols, {chars('line', '|<>')} AS bars, {chars('line', '!')} AS marks,
+    {chars('line', 'A-Z')} AS upper, {chars('line', 'a-z')} AS lower FROM lines WHERE len(w) > 0),
+lost AS (
+  SELECT doc_id, sum(n) AS n FROM marks
+  WHERE (symbols >= 4 AND symbols > {r.symbols} * n) OR (bars >= 2 AND bars > {r.bars} * n)
+    OR (upper + lower >= 20 AND upper > {r.upper} * (upper + lower)) OR (marks >= 4 AND marks > {r.marks} * n)
+    OR (n < {r.stub} AND NOT {ends}) OR (n <= {r.boilerplate} AND regexp_matches({fold('line')}, '{phrases}')) GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+    {chars('t', '#*$%&|<>')}::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(lost.n, 0)::BIGINT AS n_lost_words
+  FROM words LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN lost USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND n_lost_words <= {r.lost} * n_words AS kept FROM judged"""
+
+
 def op7_decontamination() -> str:
     words = "regexp_extract_all(" + fold("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
@@ -61,7 +98,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items s USING (doc_id)"""
 
 
-SQL = (op4_near_dup, op7_decontamination, op10_line_dedup,)
+SQL = (op4_near_dup, op5_quality_rules, op7_decontamination, op10_line_dedup,)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,6 +12,7 @@ from .decontam import contamination
 from .language_id import languages
 from .line_dedup import dedup_lines
 from .near_dup import near_groups
+from .quality import clean_lines
 
 QUERIES = {}
 
@@ -46,6 +47,12 @@ def op4_near_dup(spark, folder):
     return near_groups(table(spark, folder, "documents", "doc_id", "text"))
 
 
+@query
+def op5_quality_rules(spark, folder):
+    judged = clean_lines(table(spark, folder, "documents", "doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_words", "kept")
+
+
 @query
 def op7_decontamination(spark, folder):
     found = contamination(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
