@@ -13,7 +13,7 @@ def create(uri: str):
     """A stream to a new file; its folder is made where the store has folders."""
     store, path = located(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)
 
 
 def opened(uri: str):

@@ -11,6 +11,15 @@ def fold(expr: str) -> str:
     return f"translate({expr}, '{UPPER}', '{UPPER.lower()}')"
 
 
+def op8_warc() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS n, sha1(h) AS s FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY s) AS top FROM d)
+SELECT page_id, n AS payload_bytes, s AS payload_digest, CASE WHEN n >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND top <> page_id THEN top END AS refers_to FROM m"""
+
+
 def op10_line_dedup() -> str:
     blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return f"""
@@ -98,7 +107,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items s USING (doc_id)"""
 
 
-SQL = (op4_near_dup, op5_quality_rules, op7_decontamination, op10_line_dedup,)
+SQL = (op4_near_dup, op5_quality_rules, op7_decontamination, op8_warc, op10_line_dedup,)
 
 
 def oracle_sql() -> dict[str, str]:

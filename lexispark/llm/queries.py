@@ -11,8 +11,10 @@ from .common import shared_folder, table
 from .decontam import contamination
 from .language_id import languages
 from .line_dedup import dedup_lines
+from .main_text import extract
 from .near_dup import near_groups
 from .quality import clean_lines
+from .warc import archived_pages, read_archives, write_archives
 
 QUERIES = {}
 
@@ -53,6 +55,12 @@ def op5_quality_rules(spark, folder):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_words", "kept")
 
 
+@query
+def op6_main_text(spark, folder):
+    found = extract(table(spark, folder, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op7_decontamination(spark, folder):
     found = contamination(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
@@ -60,6 +68,13 @@ def op7_decontamination(spark, folder):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
 
 
+@query
+def op8_warc(spark, folder):
+    out = shared_folder(spark, "warc")
+    write_archives(table(spark, folder, "pages", "page_id", "url", "html"), out)
+    return archived_pages(read_archives(spark, out))
+
+
 @query
 def op9_language_id(spark, folder):
     docs = languages(table(spark, folder, "documents", "doc_id", "text", "lang"))
