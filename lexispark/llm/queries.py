@@ -14,6 +14,7 @@ from .line_dedup import dedup_lines
 from .main_text import extract
 from .near_dup import near_groups
 from .quality import clean_lines
+from .secret_scan import scan
 from .warc import archived_pages, read_archives, write_archives
 
 QUERIES = {}
@@ -32,6 +33,13 @@ def op1_token_records(spark, folder):
     return records.sequence_digests(records.read_records(spark, out))
 
 
+@query
+def op2_secret_scan(spark, folder):
+    found = scan(table(spark, folder, "documents", "doc_id", "text", "source"))
+    value = F.sha2("value", 256).alias("value_sha256")
+    return found.select("doc_id", "position", "part", F.col("length").cast("long").alias("length"), value, F.round("score", 6).alias("score"), "kept")
+
+
 @query
 def op3_sentencepiece(spark, folder):
     path = public_tokenizers.path("piece_bpe_32k.model")
