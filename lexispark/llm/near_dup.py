@@ -27,9 +27,12 @@ from .components import components
 
 BAND, BANDS = 6, 48
 REGISTERS = BAND * BANDS
-BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
-"""Spacing of levels, rate of the values, and largest level but one: sets of up to 10^18 elements fit."""
+BASE, RATE, TOP = 1.1, 20.0, (1 << 8) - 2
+"""Spacing of levels, rate of the values, and largest level but one: a register is a byte, and sets of up to 10^9 elements fit."""
+EARLY = 8
+"""Bands that are searched for the likeliest partners before all bands are searched for all partners."""
 BLOCK = 512
+HELD, PART = 256, 4096
 BROADCAST_ROWS = 1_000_000
 """A list of ids is broadcast up to this many rows (8 MB), else joined by shuffle."""
 _UNITS = np.array([t for t in range(1, REGISTERS) if np.gcd(t, REGISTERS) == 1], np.int64)
@@ -77,7 +80,7 @@ def registers(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
     u = (best[filled].astype(np.float64) + 1) / 2.0**64
     lo, hi = _GAMMA[k - 1], _GAMMA[k]
     value = lo - np.log1p(-np.minimum(u, 1 - 1e-16) * -np.expm1(-RATE * (hi - lo))) / RATE
-    level = np.zeros(n * REGISTERS, np.uint16)
+    level = np.zeros(n * REGISTERS, np.uint8)
     level[filled] = np.clip(np.floor(1 - np.log(value) / np.log(BASE)), 0, TOP + 1)
     return level.reshape(n, REGISTERS)
 
@@ -152,46 +155,46 @@ def sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 def levels(column: pa.Array) -> np.ndarray:
     raw, _ = sp.bytes_of(column)
-    return raw.view(np.uint16).reshape(-1, REGISTERS)
+    return raw.reshape(-1, REGISTERS)
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
-    """``key, node``: every representative in each of its buckets."""
+    """``key, band, node``: every representative in each of its buckets."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = band_keys(levels(batch.column("sketch")))
             ids = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_pydict({"key": found.ravel(), "node": ids})
+            yield pa.RecordBatch.from_pydict({"key": found.ravel(), "band": np.tile(np.arange(BANDS, dtype=np.int8), len(found)), "node": ids})
 
-    return nodes.select("node", "sketch").mapInArrow(keys, "key bigint, node bigint")
+    return nodes.select("node", "sketch").mapInArrow(keys, "key bigint, band tinyint, node bigint")
 
 
 # Pairs --------------------------------------------------------------------------------------------
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
-    """The pairs ``a, b`` that sizes and the likelihood estimate leave over."""
+    """The pairs ``x, y`` that sizes and the likelihood estimate leave over."""
     lowest = floor_of(limit)
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = levels(batch.column("sa")), levels(batch.column("sb"))
-            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
-            good = np.flatnonzero((100 * np.minimum(na, nb) >= limit * np.maximum(na, nb)) & (likely_similarity(x, y, na, nb) >= lowest))
-            yield batch.select(["a", "b"]).take(pa.array(good))
+            x, y = levels(batch.column("sx")), levels(batch.column("sy"))
+            nx, ny = (batch.column(c).to_numpy() for c in ("nx", "ny"))
+            good = np.flatnonzero((100 * np.minimum(nx, ny) >= limit * np.maximum(nx, ny)) & (likely_similarity(x, y, nx, ny) >= lowest))
+            yield batch.select(["x", "y"]).take(pa.array(good))
 
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(estimate, "a bigint, b bigint")
+    x = nodes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
+    y = nodes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("sketch").alias("sy"))
+    return pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(estimate, "x bigint, y bigint")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int, limit: int) -> DataFrame:
-    """The pairs whose full shingle sets have ``100 * intersection >= limit * union``."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("_0")).distinct(), "ids")
+def packed_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """``node, items``: the sorted shingle hashes of the texts with these ids (``node``)."""
     few = ids.count() <= BROADCAST_ROWS
     source = texts(docs, key, text=text).withColumn("_0", F.col("_0").cast("long"))
-    needed = source.join(F.broadcast(ids) if few else ids, "_0", "left_semi")
+    listed = ids.select(F.col("node").alias("_0"))
+    needed = source.join(F.broadcast(listed) if few else listed, "_0", "left_semi")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,25 +206,55 @@ def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int, li
                 packed = [h[cut[i] : cut[i + 1]].tobytes() for i in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays([batch.column("_0").slice(lo, hi - lo), pa.array(packed, pa.binary())], ["node", "items"])
 
-    sets = needed.mapInArrow(pack, "node bigint, items binary")
-    x = sets.select(F.col("node").alias("a"), F.col("items").alias("xa"))
-    y = sets.select(F.col("node").alias("b"), F.col("items").alias("xb"))
+    return needed.mapInArrow(pack, "node bigint, items binary")
+
+
+def alike(p: np.ndarray, q: np.ndarray, limit: int) -> bool:
+    """Whether two sorted sets have ``100 * intersection >= limit * union``."""
+    if 100 * min(len(p), len(q)) < limit * max(len(p), len(q)) or not len(p):
+        return False
+    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+    both = int((q[at] == p).sum())
+    return 100 * both >= limit * (len(p) + len(q) - both)
+
+
+def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int, limit: int) -> DataFrame:
+    """The pairs ``x, y`` that link on their full sets, as ``a, b`` (smaller id first).
+
+    The ``x`` are dealt over blocks of about ``HELD`` sets that a task holds, and the ``y`` of a block stream past them, in
+    parts of about ``PART``: a set travels once for each block that it is compared with, not once a pair.
+    """
+    blocks = max(1, -(-pairs.select("x").distinct().count() // HELD))
+    dealt = pairs.withColumn("blk", F.pmod(F.xxhash64("x"), F.lit(blocks)))
+    # at most as many partners as a block has sets
+    streams = stored(dealt.groupBy("blk", "y").agg(F.collect_set("x").alias("partners")), "streams")
+    parts = streams.groupBy("blk").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    held = dealt.select("blk", "x").distinct().join(parts, "blk").select(
+        "blk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("x").alias("node"), F.array().cast("array<bigint>").alias("partners")
+    )
+    passing = streams.join(parts, "blk").select(
+        "blk", F.pmod(F.xxhash64("y"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"), F.col("y").alias("node"), "partners"
+    )
+    ids = stored(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "ids")
+    rows = held.unionByName(passing).join(packed_sets(docs, ids, key, text, size), "node")
+    ordered = rows.repartition("blk", "part").sortWithinPartitions("blk", "part", "side")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sets = None, {}
         for batch in batches:
-            xa, xb = batch.column("xa"), batch.column("xb")
-            good = []
-            for i in range(batch.num_rows):
-                p, q = np.frombuffer(xa[i].as_buffer(), np.uint64), np.frombuffer(xb[i].as_buffer(), np.uint64)
-                if 100 * min(len(p), len(q)) < limit * max(len(p), len(q)):
-                    continue
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                both = int((q[at] == p).sum())
-                if 100 * both >= limit * (len(p) + len(q) - both):
-                    good.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+            items, out = batch.column("items"), []
+            columns = [batch.column(c).to_pylist() for c in ("blk", "part", "side", "node", "partners")]
+            for i, (blk, part, side, node, partners) in enumerate(zip(*columns, strict=True)):
+                if (blk, part) != at:
+                    at, sets = (blk, part), {}
+                own = np.frombuffer(items[i].as_buffer(), np.uint64)
+                if side == 0:  # an id can have several texts
+                    sets.setdefault(node, []).append(own.copy())
+                else:
+                    out += [(min(node, x), max(node, x)) for x in partners if any(alike(own, s, limit) for s in sets[x])]
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "xa", "xb").mapInArrow(confirm, "a bigint, b bigint")
+    return ordered.select("blk", "part", "side", "node", "partners", "items").mapInArrow(confirm, "a bigint, b bigint").distinct()
 
 
 def streamed(groups: list[str], work: Callable[[pa.Table], pa.RecordBatch]) -> Callable:
@@ -246,30 +279,40 @@ def streamed(groups: list[str], work: Callable[[pa.Table], pa.RecordBatch]) -> C
     return run
 
 
-def block_pairs(members: DataFrame, limit: int, best: bool) -> DataFrame:
-    """Pairs ``a, b`` between groups that meet in a bucket.
+def open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """``key, band, node, comp, outside, lefts, rights``: the members of the buckets where more than one group meets.
 
-    ``members``: ``key, node, comp, n, sketch`` of the buckets with more than one group. In each, the members outside
-    its largest group are cut into blocks of about ``BLOCK`` and laid against all members in such blocks. A pair is taken in the first
-    bucket that both share; ``best``: each node offers its likeliest partner of each other group in the block only.
+    ``outside`` is whether a member is not of the bucket's largest group; ``lefts`` and ``rights`` are the blocks for
+    those members and for all.
     """
-    lowest = floor_of(limit)
-    sized = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    tops = sized.groupBy("key").agg(F.max(F.struct("c", F.col("comp"))).alias("top"), F.sum("c").alias("all"))
-    open_ = tops.where(F.col("all") > F.col("top.c")).select(
+    placed = buckets.join(groups, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("comp"))
+    sized = placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    tops = sized.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all")).where(F.col("all") > F.col("top.c"))
+    blocks = tops.select(
         "key", F.col("top.comp").alias("main"),
         F.ceil((F.col("all") - F.col("top.c")) / BLOCK).cast("int").alias("lefts"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rights"),
     )
-    rows = members.join(open_, "key")
-    left = rows.where("comp <> main").select(
+    return placed.join(blocks, "key").select("key", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("outside"), "lefts", "rights")
+
+
+def block_pairs(rows: DataFrame, nodes: DataFrame, limit: int, best: bool) -> DataFrame:
+    """Likely pairs ``x, y`` (``x`` outside the largest group) between groups that meet in a bucket (``rows`` of ``open_buckets``).
+
+    The members outside a bucket's largest group are cut into blocks of about ``BLOCK`` and laid against all members in such
+    blocks. A pair is taken in the first band that both share; ``best``: each node offers its likeliest partner of each other
+    group in the block only.
+    """
+    lowest = floor_of(limit)
+    left = rows.where("outside").select(
         "key", F.pmod(F.xxhash64("node"), F.col("lefts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"),
-        F.lit(0).alias("side"), "node", "comp", "n", "sketch",
+        F.lit(0).alias("side"), "node", "comp",
     )
     right = rows.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), F.pmod(F.xxhash64("node", F.lit(7)), F.col("rights")).cast("int").alias("j"),
-        F.lit(1).alias("side"), "node", "comp", "n", "sketch",
+        F.lit(1).alias("side"), "node", "comp",
     )
-    dealt = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+    drawn = left.unionByName(right).join(nodes.select("node", "n", "sketch"), "node")
+    dealt = drawn.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
 
     def work(t: pa.Table) -> pa.RecordBatch:
         key, i, j, side, node, comp, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "side", "node", "comp", "n"))
@@ -304,12 +347,12 @@ def block_pairs(members: DataFrame, limit: int, best: bool) -> DataFrame:
                 new = np.ones(len(x), bool)
                 new[1:] = (x[1:] != x[:-1]) | (comp[y][1:] != comp[y][:-1])
                 x, y = x[new], y[new]
-            out_a.append(np.minimum(node[x], node[y]))
-            out_b.append(np.maximum(node[x], node[y]))
+            out_a.append(node[x])
+            out_b.append(node[y])
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_pydict({"a": join(out_a), "b": join(out_b)})
+        return pa.RecordBatch.from_pydict({"x": join(out_a), "y": join(out_b)})
 
-    return dealt.mapInArrow(streamed(["key", "i", "j"], work), "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(streamed(["key", "i", "j"], work), "x bigint, y bigint")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, limit: int = 80) -> DataFrame:
@@ -327,32 +370,28 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     )
     every = bucket_rows(nodes)
     shared = every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    buckets = stored(every.join(shared, "key").select("key", "node", "c"), "buckets")
+    buckets = stored(every.join(shared, "key").select("key", "band", "node", "c"), "buckets")
 
     # one partner for each: the member met most often among those of its buckets
     met = buckets.groupBy("node").agg(F.sum("c").alias("met"))
     hubs = buckets.join(met, "node").groupBy("key").agg(F.max(F.struct("met", -F.col("node"))).alias("hub"))
     chosen = buckets.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub")).select("node", (-F.col("hub.col2")).alias("hub"))
-    first = chosen.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    first = chosen.where("node <> hub").select(F.col("hub").alias("x"), F.col("node").alias("y"))
     links = stored(verify(stored(likely(first, nodes, limit), "pairs"), docs, key, text, size, limit), "links")
     groups = components(links)
 
-    best = True
-    while True:
-        members = buckets.join(groups, "node", "left").join(nodes.dropDuplicates(["node"]).select("node", "n", "sketch"), "node")
-        members = members.select("key", "node", F.coalesce("component", "node").alias("comp"), "n", "sketch")
-        pairs = stored(block_pairs(members, limit, best), "pairs")
-        more = None if pairs.isEmpty() else stored(verify(pairs, docs, key, text, size, limit), "links")
-        if more is not None and not more.isEmpty():
+    one = nodes.dropDuplicates(["node"])
+    for best in (True, False):
+        while True:
+            open_ = stored(open_buckets(buckets.where(F.col("band") < EARLY) if best else buckets, groups), "open")
+            pairs = None if open_.isEmpty() else stored(block_pairs(open_, one, limit, best), "pairs")
+            more = None if pairs is None or pairs.isEmpty() else stored(verify(pairs, docs, key, text, size, limit), "links")
+            if more is None or more.isEmpty():
+                break
             links = stored(links.unionByName(more), "links")
             groups = components(links)
-        elif best and more is not None:
-            best = False
-            continue
-        else:
-            break
-        if not best:
-            break
+            if not best:
+                break
 
     # texts with the same id are one document
     twice = named.join(classes, ["d1", "d2"]).select("_id", F.col("node")).where("_id <> node")
