@@ -20,7 +20,8 @@ class RunConfig:
     test_path: str
     results_dir: str
     data_format: str = "csv"
-    multi_line: bool = True
+    multi_line: bool = False
+    """Set it for CSV files with line ends inside quotes; such a file is read by one task."""
     label_type: str = "string"
     text_column: str = "text"
     label_column: str = "label"
@@ -39,6 +40,8 @@ class RunConfig:
     cv: int = 5
     parallelism: int = 4
     learning_curves: bool = True
+    curve_sample: int | None = 10_000
+    """Training rows that learning curves are drawn on; ``None`` takes all."""
     skip_preprocessing: bool = False
     skip_feature_extraction: bool = False
     skip_model_training: bool = False

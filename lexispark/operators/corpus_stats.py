@@ -72,7 +72,8 @@ def length_histogram(docs: DataFrame, bins: int = HISTOGRAM_BINS, by: Sequence[s
 def length_density(docs: DataFrame, points: int = DENSITY_POINTS, by: Sequence[str] = (), text: str = "text") -> DataFrame:
     """Gaussian kernel density of the lengths on an even grid, bandwidth by Scott's rule.
 
-    The kernel is summed over distinct lengths weighted by their documents, not over documents.
+    The kernel is summed over distinct lengths weighted by their documents, not over documents. Where all lengths
+    are equal there is no bandwidth, hence no rows.
     """
     lengths = length_frequency(docs, by, text)
     n = F.sum("n")
@@ -81,7 +82,7 @@ def length_density(docs: DataFrame, points: int = DENSITY_POINTS, by: Sequence[s
         n.alias("docs"),
         F.min(x).alias("lo"),
         F.max(x).alias("hi"),
-        F.sqrt((F.sum(x * x * F.col("n")) - F.sum(x * F.col("n")) * F.sum(x * F.col("n")) / n) / (n - 1)).alias("sd"),
+        F.sqrt((F.sum(x * x * F.col("n")) - F.sum(x * F.col("n")) * F.sum(x * F.col("n")) / n) / F.nullif(n - 1, F.lit(0))).alias("sd"),
     )
     if by:
         rows = lengths.join(moments, list(by))
@@ -90,7 +91,7 @@ def length_density(docs: DataFrame, points: int = DENSITY_POINTS, by: Sequence[s
         rows = lengths.withColumn("m", one).select("n_words", "n", "m.*")
     width = F.col("sd") * F.pow(F.col("docs").cast("double"), F.lit(-0.2))
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    spaced = rows.select(*by, "n_words", "n", "docs", "lo", "hi", width.alias("h"), grid).withColumn(
+    spaced = rows.where(F.col("sd") > 0).select(*by, "n_words", "n", "docs", "lo", "hi", width.alias("h"), grid).withColumn(
         "at", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (points - 1)
     )
     z = (F.col("at") - F.col("n_words")) / F.col("h")

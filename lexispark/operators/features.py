@@ -47,7 +47,7 @@ class FeatureExtractor:
         self.method = method.lower()
         if self.method not in METHODS:
             raise ValueError(f"unknown method '{method}', expected one of {', '.join(METHODS)}")
-        if isinstance(min_df, int) and isinstance(max_df, int) and max_df < min_df:
+        if isinstance(min_df, int) == isinstance(max_df, int) and max_df < min_df:
             raise ValueError("max_df is below min_df")
         self.ngram_range = tuple(ngram_range)
         self.max_features = max_features
@@ -63,7 +63,9 @@ class FeatureExtractor:
         return term_counts(ngrams(tokens, *self.ngram_range))
 
     def _tokens(self, docs: DataFrame) -> Column:
-        return F.col("tokens") if "tokens" in docs.columns else feature_tokens(F.col("text"))
+        # ready tokens are held to the rule for texts: two characters at least
+        ready = F.filter("tokens", lambda t: F.length(t) >= 2) if "tokens" in docs.columns else None
+        return feature_tokens(F.col("text")) if ready is None else ready
 
     def term_table(self, docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Every term of every document with its count; computed inside the row, no exchange."""
@@ -103,7 +105,10 @@ class FeatureExtractor:
 
     def fit(self, docs: DataFrame) -> "FeatureExtractor":
         """Compute the vocabulary in one pass over ``docs`` and keep it in the checkpoint folder."""
-        return self._use(materialise(self.ranked_vocabulary(docs)))
+        self._use(materialise(self.ranked_vocabulary(docs)))
+        if not self.size:
+            raise ValueError("no term is left: lower min_df or raise max_df")
+        return self
 
     def _use(self, vocabulary: DataFrame) -> "FeatureExtractor":
         self.vocabulary = vocabulary

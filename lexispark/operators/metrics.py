@@ -118,21 +118,20 @@ def wide_confusion(matrix: DataFrame, labels: list, value: str = "n") -> DataFra
 TIE_DIGITS = 12
 
 
-def class_scores(scored: DataFrame, classes: list, by: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+def class_scores(scored: DataFrame, classes: list, by: Sequence[str] = ()) -> DataFrame:
     """``(*by, class, score, pos, neg)`` summed per distinct score.
 
     With two classes the second one's probability is the score; otherwise every class is
-    scored against the rest, or only the first ``limit`` of them.
+    scored against the rest.
     """
     probability = F.col("probability")
     if len(classes) == 2:
         entries = F.array(F.struct(F.lit(classes[1]).alias("class"), F.round(probability[1], TIE_DIGITS).alias("score")))
     else:
-        chosen = classes[:limit] if limit else classes
         entries = F.array(
             *[
                 F.struct(F.lit(c).alias("class"), F.round(probability[i], TIE_DIGITS).alias("score"))
-                for i, c in enumerate(chosen)
+                for i, c in enumerate(classes)
             ]
         )
     positive = F.col("label") == F.col("e.class")

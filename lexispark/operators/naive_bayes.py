@@ -78,6 +78,12 @@ class NaiveBayes:
         # one row per vocabulary term, read again by every prediction
         counts = materialise(class_sums(features, self.classes, label=label))
         n_terms, sums = counts.agg(F.count("*"), array_sums("n", k)).first()
+        if max_features and max_features > n_terms:
+            # vocabulary terms without a training row are smoothed and scored too
+            every = features.sparkSession.range(max_features).select(F.col("id").cast("int").alias("idx"))
+            absent = every.join(counts, "idx", "left_anti").select("idx", F.lit(None).cast("string").alias("term"), F.array_repeat(F.lit(0.0), k).alias("n"))
+            counts, n_terms = counts.select("idx", "term", "n").unionByName(absent), max_features
+            sums = sums or [0.0] * k
         n = [F.col("n")[i] for i in range(k)]
         if self.variant == "multinomial":
             smoothed = [math.log(x + self.alpha * n_terms) for x in sums]

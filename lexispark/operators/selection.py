@@ -25,7 +25,6 @@ from .ordered import row_numbers, running_sums
 # Default grid of Naive Bayes and the shares of a learning curve.
 NAIVE_BAYES_GRID = {"alpha": [0.1, 0.5, 1.0, 1.5, 2.0], "fit_prior": [True, False]}
 CURVE_SHARES = tuple(np.linspace(0.1, 1.0, 5))
-CURVE_SAMPLE = 10_000
 
 
 # Folds, samples, weights -------------------------------------------------------------------------
@@ -236,9 +235,11 @@ def grid_means(results: DataFrame, params: Sequence[str]) -> DataFrame:
     return results.groupBy(*params).agg(F.avg("f1").alias("mean_f1"), F.stddev_pop("f1").alias("std_f1"))
 
 
-def best_point(results: DataFrame, params: Sequence[str]) -> DataFrame:
-    """The grid point with the best mean score; the first in parameter order among equals."""
-    return grid_means(results, params).orderBy(F.desc(F.round("mean_f1", 12)), *params).limit(1)
+def best_point(results: DataFrame, params: Sequence[str], grid: dict | None = None) -> DataFrame:
+    """The grid point with the best mean score; the first in the grid's order among equals."""
+    grid = grid or NAIVE_BAYES_GRID
+    places = [F.array_position(F.array(*[F.lit(v) for v in grid[p]]), F.col(p)) if p in grid else F.col(p) for p in params]
+    return grid_means(results, params).orderBy(F.desc(F.round("mean_f1", 12)), *places).limit(1)
 
 
 def curve_sizes(n_train: int, shares: Sequence[float] = CURVE_SHARES) -> list[int]:
@@ -257,6 +258,7 @@ def naive_bayes_curve(
     k: int = 5,
     key: str = "doc_id",
     max_features: int | None = None,
+    variant: str = "multinomial",
 ) -> DataFrame:
     """Weighted F1 on the rows trained on and on the held-out fold, per size and fold.
 
@@ -293,7 +295,12 @@ def naive_bayes_curve(
             F.array(*[F.sum(F.when(cell, F.col("weight")).otherwise(0.0)) for cell in cells]).alias("n")
         )
     )
-    table = by_term.select("held_out", "idx", F.transform("n", lambda x: F.log(x + F.lit(float(alpha)))).alias("logp"))
+    n = [F.col("n")[i] for i in range(r * m)]
+    if variant == "multinomial":
+        logs = [F.log(x + F.lit(float(alpha))) for x in n]
+    else:
+        logs = [-F.log(sum(n[i - i % m : i - i % m + m], F.lit(float(alpha))) - n[i]) for i in range(r * m)]
+    table = by_term.select("held_out", "idx", F.array(*logs).alias("logp"))
     bound = max_features * k if max_features else None
     scores = weighted_sums(rows, table, r * m, [key, "held_out"], ["held_out", "idx"], max_rows=bound)
 
@@ -304,8 +311,13 @@ def naive_bayes_curve(
     for row in totals.join(counts, "held_out").collect():
         weight, seen = np.array(row.t).reshape(r, m), np.array(row.c).reshape(r, m)
         for s in range(r):
-            den = np.log(weight[s] + alpha * n_features).tolist()
-            points.append((row.held_out, s, steps[s], s * m, den, _log_shares(seen[s], fit_prior)))
+            prior = _log_shares(seen[s], fit_prior)
+            if variant == "multinomial":
+                den = np.log(weight[s] + alpha * n_features)
+            else:
+                den = -np.log(weight[s].sum() - weight[s] + alpha * n_features)
+                prior = [p if p == -math.inf else 0.0 for p in prior]
+            points.append((row.held_out, s, steps[s], s * m, den.tolist(), prior))
     schema = "held_out int, step int, train_size bigint, at int, den array<double>, prior array<double>"
     points = docs.sparkSession.createDataFrame(points, schema)
     points = points.groupBy("held_out").agg(F.collect_list(F.struct("step", "train_size", "at", "den", "prior")).alias("points"))

@@ -32,6 +32,11 @@ def drop_listed(docs: DataFrame, words: DataFrame, key: str = "doc_id", tokens:
 
 
 def lemmatize(docs: DataFrame, lemmas: DataFrame, key: str = "doc_id", tokens: str = "tokens", **bounds) -> DataFrame:
-    """Replace tokens by their lemma from ``lemmas(token, lemma)``; unlisted tokens stay as they are."""
-    rows = lookup_join(_positions(docs, key, tokens), lemmas, "token", "left", salt_by=key, **bounds)
+    """Replace tokens by their lemma from ``lemmas(token, lemma)``; unlisted tokens stay as they are.
+
+    A token with several lemmas takes the one with the smallest ``rank`` if the table has that column, else the first by name.
+    """
+    order = [F.col(c) for c in ("rank", "lemma") if c in lemmas.columns]
+    first = lemmas.where(F.col("lemma").isNotNull()).groupBy("token").agg(F.min_by("lemma", F.struct(*order)).alias("lemma"))
+    rows = lookup_join(_positions(docs, key, tokens), first, "token", "left", salt_by=key, **bounds)
     return _regather(docs, rows, F.coalesce("lemma", "token"), key, tokens)

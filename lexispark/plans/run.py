@@ -93,7 +93,8 @@ def load(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
         )
         columns = ["doc_id", "split"] + (["dataset"] if "dataset" in df.columns else [])
         text, label = F.col(cfg.text_column).alias("text"), F.col(cfg.label_column).cast(cfg.label_type).alias("label")
-        out.append(df.select(*columns, text, label))
+        # generated keys depend on how a scan is cut, so the keyed rows are written once
+        out.append(artifacts.save_table(df.select(*columns, text, label), f"{cfg.results_dir}/loaded", split))
     return tuple(out)
 
 
@@ -145,10 +146,10 @@ def _fit(spark: SparkSession, cfg: RunConfig, name: str, features: Features):
             folds = sel.stratified_folds(features.train.select("doc_id", "label"), cfg.cv, sizes=features.sizes)
             size = features.extractor.size
             scores = sel.naive_bayes_grid(
-                long, folds, size, features.sizes, grid=cfg.search_grids.get(name), k=cfg.cv, max_features=size
+                long, folds, size, features.sizes, params.get("variant", "multinomial"), cfg.search_grids.get(name), cfg.cv, max_features=size
             )
             scores = cached(scores)
-            best = sel.best_point(scores, NB_PARAMETERS).first()
+            best = sel.best_point(scores, NB_PARAMETERS, cfg.search_grids.get(name)).first()
             params = {**params, "alpha": best.alpha, "fit_prior": best.fit_prior}
             table = scores.select(
                 F.create_map(
@@ -216,7 +217,7 @@ def evaluate(spark: SparkSession, cfg: RunConfig, features: Features, result: Ru
     }
     if len(classes) == 2:
         tables["roc_points"] = mt.roc_points(mt.class_scores(with_area, classes, ["model"]), ["model"])
-    curve_scores = mt.class_scores(with_area, classes, ["model"], limit=5)
+    curve_scores = mt.class_scores(with_area, classes, ["model"])
     tables["pr_points"] = mt.pr_points(curve_scores, ["model"])
     tables["average_precision"] = mt.average_precision(curve_scores, ["model"])
     if importances:
@@ -230,17 +231,15 @@ def evaluate(spark: SparkSession, cfg: RunConfig, features: Features, result: Ru
 def learning_curves(cfg: RunConfig, features: Features, result: RunResult) -> DataFrame:
     """Learning curves of the run's models on a stratified sample of the training rows."""
     keys = features.train.select("doc_id", "label")
-    sample = sel.stratified_sample(keys, sel.CURVE_SAMPLE, sizes=features.sizes)
+    sample = keys if cfg.curve_sample is None else sel.stratified_sample(keys, cfg.curve_sample, sizes=features.sizes)
     folds = sel.stratified_folds(sample, cfg.cv)
     curves = []
     for title, model in result.models.items():
         if isinstance(model, NaiveBayes):
             long = features.long("train", ["label"]).join(folds.select("doc_id"), "doc_id", "left_semi")
             size = features.extractor.size
-            if model.variant != "multinomial":
-                continue
             curve = sel.naive_bayes_curve(
-                long, folds, size, alpha=model.alpha, fit_prior=model.fit_prior, k=cfg.cv, max_features=size
+                long, folds, size, alpha=model.alpha, fit_prior=model.fit_prior, k=cfg.cv, max_features=size, variant=model.variant
             )
         else:
             vectors = cached(features.vectors("train").join(folds.select("doc_id", "fold"), "doc_id"))
@@ -255,6 +254,9 @@ def describe(cfg: RunConfig, raw: DataFrame, docs: DataFrame, features: Features
     long, train = features.long("train"), docs.where(F.col("split") == "train")
     n_docs = F.lit(sum(c.n for c in features.sizes))
     tables = {
+        "split_sizes": corpus.split_sizes(raw),
+        "label_counts": corpus.value_counts(raw, "label"),
+        "missing_texts": corpus.missing_texts(raw),
         "label_distribution": cs.label_distribution(docs),
         "length_stats": cs.length_stats(raw, ["split"]),
         "length_histogram": cs.length_histogram(raw, by=["split"]),

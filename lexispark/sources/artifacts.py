@@ -35,5 +35,5 @@ def save_csv(df: DataFrame, path: str) -> None:
 
 
 def save_search(results: DataFrame, folder: str) -> None:
-    """Scores of a parameter search, one directory per model."""
-    results.write.mode("append").partitionBy("model").parquet(f"{folder}/cv_results")
+    """Scores of a parameter search, one directory per model; a second search replaces the first one's."""
+    results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model").parquet(f"{folder}/cv_results")

@@ -102,10 +102,11 @@ def load_data(
     label_column: str = "label",
     schema: T.StructType | None = None,
     fmt: str = "csv",
+    multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """The train and test splits."""
     return tuple(
-        read_corpus(spark, path, split, text_column, label_column, schema, fmt)
+        read_corpus(spark, path, split, text_column, label_column, schema, fmt, multi_line)
         for split, path in (("train", train_path), ("test", test_path))
     )
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from .queries import LANGUAGES, stop_list
+from .queries import stop_list
 
+# the languages of the given tables; the queries take theirs from the data
+LANGUAGES = ["de", "en", "es", "fr"]
 BLANK = r"\s\p{Z}\x85\x1C-\x1F"
 URL = rf"https?://[^{BLANK}]+|www\.[^{BLANK}]+"
 TAG = r"<[^\n]*?>"
@@ -135,7 +137,6 @@ auc AS (SELECT {g}class,
   sum(CASE WHEN fp_total > 0 AND tp_total > 0 THEN neg * (2 * tp - pos) / 2.0 / (fp_total::DOUBLE * tp_total) END) AS area FROM cum GROUP BY ALL)"""
 
 
-FIRST_FIVE = "class IN (SELECT label FROM classes ORDER BY label LIMIT 5)"
 SECOND = "class = (SELECT max(label) FROM classes)"
 RATED = ("quality", True)
 SOURCE = ("source", False)
@@ -306,7 +307,7 @@ SELECT doc_id, class, {number('p', 'probability')} FROM scored_p""",
         "nb_grid_search": f"{search} SELECT alpha, fit_prior, fold::INTEGER AS fold, {number('f1_score', 'f1')} FROM summary",
         "nb_best_parameters": f"""{search} SELECT alpha, fit_prior, {number('avg(f1_score)', 'mean_f1')},
 {number('stddev_pop(f1_score)', 'std_f1')} FROM summary GROUP BY alpha, fit_prior
-ORDER BY round(avg(f1_score), 12) DESC, alpha, fit_prior LIMIT 1""",
+ORDER BY round(avg(f1_score), 12) DESC, alpha, fit_prior DESC LIMIT 1""",
         "nb_learning_curve": f"""{curved} SELECT train_size, fold, {number('train_f1', 'train_f1')},
 {number('test_f1', 'test_f1')} FROM curve""",
         "learning_curve_summary": f"{curved} SELECT 'Naive Bayes' AS model, train_size, {stats} FROM curve GROUP BY train_size",
@@ -380,9 +381,9 @@ UNION ALL SELECT NULL, 0.0, 0.0) {roc} FROM points""",
         "ovr_auc": f"{source}, {curves()} SELECT {number('CASE WHEN count(area) = count(*) THEN avg(area) END', 'roc_auc')} FROM auc",
         "ovr_auc_per_class": f"{source}, {curves()} SELECT class, {number('area', 'roc_auc')} FROM auc",
         "pr_points": f"{second}, points AS ({points.format(c='', d='')}) SELECT {pr} FROM points",
-        "pr_points_multiclass": f"""{source}, {curves(only=FIRST_FIVE)},
+        "pr_points_multiclass": f"""{source}, {curves()},
 points AS ({points.format(c='class, ', d='class, ')} FROM (SELECT DISTINCT class FROM cum)) SELECT class, {pr} FROM points""",
-        "average_precision": f"""{source}, {curves(only=FIRST_FIVE)}, ap AS (SELECT class,
+        "average_precision": f"""{source}, {curves()}, ap AS (SELECT class,
 sum(CASE WHEN tp_total > 0 THEN pos / tp_total ELSE 0.0 END * (tp / (tp + fp))) AS x FROM cum GROUP BY class) SELECT class, {number('x', 'average_precision')} FROM ap""",
         "model_comparison": f"{comparison} SELECT * FROM comparison",
         "best_model": f'{comparison} SELECT "Model", "F1 Score" FROM comparison ORDER BY "F1 Score" DESC, "Model" LIMIT 1',

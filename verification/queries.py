@@ -23,9 +23,6 @@ from lexispark.operators.tokens import drop_listed, lemmatize
 from lexispark.session import cached
 from lexispark.sources import corpus as io
 
-LANGUAGES = ["de", "en", "es", "fr"]
-
-
 @lru_cache(maxsize=1)
 def stop_list() -> tuple[str, ...]:
     return tuple(load_stopwords("english"))
@@ -89,8 +86,8 @@ class Bayes:
     def scored(self, model: NaiveBayes | None = None) -> DataFrame:
         return (model or self.model).predict(self.test, part(self.docs, "test"))
 
-    def scores(self, limit: int | None = None) -> DataFrame:
-        return mt.class_scores(self.scored(), self.classes, limit=limit)
+    def scores(self) -> DataFrame:
+        return mt.class_scores(self.scored(), self.classes)
 
 
 def folded(b: Bayes) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +124,8 @@ def corpus_dataset_counts(spark, folder):
 
 @query
 def dataset_label_crosstab(spark, folder):
-    return io.crosstab(documents(spark, folder), "dataset", "label", LANGUAGES)
+    docs = documents(spark, folder)
+    return io.crosstab(docs, "dataset", "label", [c.label for c in class_sizes(docs)])
 
 
 @query
@@ -463,7 +461,7 @@ def confusion_normalized(spark, folder):
 @query
 def confusion_wide(spark, folder):
     b = Bayes(documents(spark, folder))
-    return mt.wide_confusion(mt.confusion_matrix(b.scored()), LANGUAGES)
+    return mt.wide_confusion(mt.confusion_matrix(b.scored()), b.classes)
 
 
 @query
@@ -499,12 +497,12 @@ def pr_points(spark, folder):
 
 @query
 def pr_points_multiclass(spark, folder):
-    return mt.pr_points(source_model(spark, folder).scores(limit=5))
+    return mt.pr_points(source_model(spark, folder).scores())
 
 
 @query
 def average_precision(spark, folder):
-    return mt.average_precision(source_model(spark, folder).scores(limit=5))
+    return mt.average_precision(source_model(spark, folder).scores())
 
 
 NAIVE_BAYES_MODELS = {
