@@ -7,18 +7,20 @@
 3. ``BAND`` registers together make a bucket key. A pair at similarity 0.8 misses all ``BANDS`` buckets with probability 5e-7.
 4. Buckets never emit their pairs. Each representative is first compared with the most often met member of its buckets;
    what links is one group. Members outside the main group of a bucket are then laid against the rest of it in
-   blocks of bounded size, each offering its likeliest partners, until nothing new links; a last pass takes all partners.
+   blocks of bounded size: first in some of the bands, each offering its likeliest partners, then in all bands, offering every
+   partner that is still in another group.
 5. A pair is dropped without its sets only if sizes exclude it or its likelihood estimate is more than five standard
    deviations below the limit. All others are confirmed on the full sets, and only confirmed links join groups.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans as sp
@@ -32,7 +34,7 @@ BASE, RATE, TOP = 1.1, 20.0, (1 << 8) - 2
 EARLY = 8
 """Bands that are searched for the likeliest partners before all bands are searched for all partners."""
 BLOCK = 512
-HELD, PART = 256, 4096
+HELD, PART = 128, 1024
 BROADCAST_ROWS = 1_000_000
 """A list of ids is broadcast up to this many rows (8 MB), else joined by shuffle."""
 _UNITS = np.array([t for t in range(1, REGISTERS) if np.gcd(t, REGISTERS) == 1], np.int64)
@@ -218,25 +220,32 @@ def alike(p: np.ndarray, q: np.ndarray, limit: int) -> bool:
     return 100 * both >= limit * (len(p) + len(q) - both)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int, limit: int) -> DataFrame:
-    """The pairs ``x, y`` that link on their full sets, as ``a, b`` (smaller id first).
+def block_of(x: Column, blocks: int) -> Column:
+    return F.pmod(F.crc32(x.cast("string").cast("binary")), F.lit(blocks)).cast("int")
 
-    The ``x`` are dealt over blocks of about ``HELD`` sets that a task holds, and the ``y`` of a block stream past them, in
-    parts of about ``PART``: a set travels once for each block that it is compared with, not once a pair.
+
+def blocks_for(held: DataFrame) -> int:
+    return max(1, -(-held.count() // HELD))
+
+
+def verify(candidates: DataFrame, held: DataFrame, blocks: int, docs: DataFrame, key: str, text: str, size: int, limit: int) -> DataFrame:
+    """The candidates that link on their full sets, as ``a, b`` (smaller id first).
+
+    ``held`` lists all ``x``, dealt over ``blocks`` (see ``block_of``) of about ``HELD`` sets that a task holds. ``candidates`` has
+    ``blk, y, xs``: a node and the nodes of a block that it may link with. The ``y`` of a block stream past it, in parts of about
+    ``PART``: a set travels once for each block that it is compared with, not once a pair.
     """
-    blocks = max(1, -(-pairs.select("x").distinct().count() // HELD))
-    dealt = pairs.withColumn("blk", F.pmod(F.xxhash64("x"), F.lit(blocks)))
     # at most as many partners as a block has sets
-    streams = stored(dealt.groupBy("blk", "y").agg(F.collect_set("x").alias("partners")), "streams")
+    streams = stored(candidates.groupBy("blk", "y").agg(F.array_distinct(F.flatten(F.collect_list("xs"))).alias("partners")), "streams")
     parts = streams.groupBy("blk").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    held = dealt.select("blk", "x").distinct().join(parts, "blk").select(
+    still = held.select(block_of(F.col("x"), blocks).alias("blk"), "x").join(parts, "blk").select(
         "blk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("x").alias("node"), F.array().cast("array<bigint>").alias("partners")
     )
     passing = streams.join(parts, "blk").select(
         "blk", F.pmod(F.xxhash64("y"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"), F.col("y").alias("node"), "partners"
     )
-    ids = stored(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "ids")
-    rows = held.unionByName(passing).join(packed_sets(docs, ids, key, text, size), "node")
+    ids = stored(streams.select(F.col("y").alias("node")).union(held.select("x")).distinct(), "ids")
+    rows = still.unionByName(passing).join(packed_sets(docs, ids, key, text, size), "node")
     ordered = rows.repartition("blk", "part").sortWithinPartitions("blk", "part", "side")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,8 +304,8 @@ def open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     return placed.join(blocks, "key").select("key", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("outside"), "lefts", "rights")
 
 
-def block_pairs(rows: DataFrame, nodes: DataFrame, limit: int, best: bool) -> DataFrame:
-    """Likely pairs ``x, y`` (``x`` outside the largest group) between groups that meet in a bucket (``rows`` of ``open_buckets``).
+def block_pairs(rows: DataFrame, nodes: DataFrame, blocks: int, limit: int, best: bool) -> DataFrame:
+    """Likely partners ``blk, y, xs`` (see ``verify``; ``xs`` outside the largest group) in groups that meet in a bucket (``rows`` of ``open_buckets``).
 
     The members outside a bucket's largest group are cut into blocks of about ``BLOCK`` and laid against all members in such
     blocks. A pair is taken in the first band that both share; ``best``: each node offers its likeliest partner of each other
@@ -319,7 +328,8 @@ def block_pairs(rows: DataFrame, nodes: DataFrame, limit: int, best: bool) -> Da
         level = levels(t.column("sketch"))
         bands = band_keys(level)
         change = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        out_a, out_b = [], []
+        out_b, out_y, out_x = [], [], []
+        dealt_to = np.array([zlib.crc32(str(v).encode()) % blocks for v in node.tolist()], np.int32)
         for lo, hi in zip(np.append(0, change), np.append(change, len(key)), strict=True):
             split = lo + int((side[lo:hi] == 0).sum())
             p, q = np.arange(lo, split), np.arange(split, hi)
@@ -347,12 +357,17 @@ def block_pairs(rows: DataFrame, nodes: DataFrame, limit: int, best: bool) -> Da
                 new = np.ones(len(x), bool)
                 new[1:] = (x[1:] != x[:-1]) | (comp[y][1:] != comp[y][:-1])
                 x, y = x[new], y[new]
-            out_a.append(node[x])
-            out_b.append(node[y])
-        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_pydict({"x": join(out_a), "y": join(out_b)})
+            order = np.lexsort((dealt_to[x], y))
+            x, y = x[order], y[order]
+            if len(x):
+                to = dealt_to[x]
+                first = np.flatnonzero(np.append(True, (y[1:] != y[:-1]) | (to[1:] != to[:-1])))
+                out_b += to[first].tolist()
+                out_y += node[y[first]].tolist()
+                out_x += [part.tolist() for part in np.split(node[x], first[1:])]
+        return pa.RecordBatch.from_pydict({"blk": pa.array(out_b, pa.int32()), "y": pa.array(out_y, pa.int64()), "xs": pa.array(out_x, pa.list_(pa.int64()))})
 
-    return dealt.mapInArrow(streamed(["key", "i", "j"], work), "x bigint, y bigint")
+    return dealt.mapInArrow(streamed(["key", "i", "j"], work), "blk int, y bigint, xs array<bigint>")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, limit: int = 80) -> DataFrame:
@@ -377,21 +392,24 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     hubs = buckets.join(met, "node").groupBy("key").agg(F.max(F.struct("met", -F.col("node"))).alias("hub"))
     chosen = buckets.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub")).select("node", (-F.col("hub.col2")).alias("hub"))
     first = chosen.where("node <> hub").select(F.col("hub").alias("x"), F.col("node").alias("y"))
-    links = stored(verify(stored(likely(first, nodes, limit), "pairs"), docs, key, text, size, limit), "links")
+    pairs = stored(likely(first, nodes, limit), "pairs")
+    hubs = pairs.select("x").distinct()
+    blocks = blocks_for(hubs)
+    placed = pairs.select(block_of(F.col("x"), blocks).alias("blk"), "y", F.array("x").alias("xs"))
+    links = stored(verify(placed, hubs, blocks, docs, key, text, size, limit), "links")
     groups = components(links)
 
     one = nodes.dropDuplicates(["node"])
     for best in (True, False):
-        while True:
-            open_ = stored(open_buckets(buckets.where(F.col("band") < EARLY) if best else buckets, groups), "open")
-            pairs = None if open_.isEmpty() else stored(block_pairs(open_, one, limit, best), "pairs")
-            more = None if pairs is None or pairs.isEmpty() else stored(verify(pairs, docs, key, text, size, limit), "links")
-            if more is None or more.isEmpty():
-                break
-            links = stored(links.unionByName(more), "links")
-            groups = components(links)
-            if not best:
-                break
+        open_ = stored(open_buckets(buckets.where(F.col("band") < EARLY) if best else buckets, groups), "open")
+        held = open_.where("outside").select(F.col("node").alias("x")).distinct()
+        blocks = blocks_for(held)
+        partners = stored(block_pairs(open_, one, blocks, limit, best), "partners")
+        if not partners.isEmpty():
+            more = stored(verify(partners, held, blocks, docs, key, text, size, limit), "links")
+            if not more.isEmpty():
+                links = stored(links.unionByName(more), "links")
+                groups = components(links)
 
     # texts with the same id are one document
     twice = named.join(classes, ["d1", "d2"]).select("_id", F.col("node")).where("_id <> node")
