@@ -56,7 +56,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_pieces, ids, decoded, exact``: piece ids, the text decoded from them and whether it is the text itself."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    back = units.decode(units.encode(docs.select("doc_id", "text"), path), path)
+    back = units.encode_decode(docs.select("doc_id", "text"), path)
     exact = F.col("decoded") == F.coalesce("text", F.lit(""))
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "decoded", exact.alias("exact"))
 

@@ -8,8 +8,8 @@ import numpy as np
 
 from . import spans as sp
 
-LIMIT = 2_000_000
-"""Distinct ranges a worker keeps (about 60 MB); then it starts anew."""
+LIMIT = 1_000_000
+"""Distinct ranges a worker keeps (about 30 MB); then it starts anew."""
 
 
 def hash_ranges(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -26,8 +26,8 @@ class PieceCache:
 
     def __init__(self):
         self.hash = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
 
     def encode(self, hashes: np.ndarray, encode: Callable[[np.ndarray], list]) -> tuple[np.ndarray, np.ndarray]:

@@ -44,7 +44,7 @@ def op2_secret_scan(spark, folder):
 def op3_sentencepiece(spark, folder):
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, folder, "documents", "doc_id", "text")
-    back = units.decode(units.encode(docs, path), path)
+    back = units.encode_decode(docs, path)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return back.select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), units.byte_pieces(F.col("ids"), path).alias("n_byte_pieces"),

@@ -27,7 +27,7 @@ UNKNOWN = 10.0
 """An uncovered character scores so much less than the worst piece."""
 SHORT = 48
 """Units of more bytes are segmented one by one."""
-SLICE = 2 << 20
+SLICE = 1 << 20
 NONE = np.float32(-np.inf)
 
 
@@ -142,8 +142,8 @@ class Model:
         out: list[list[int]] = [[]] * len(units)
         size = np.array([len(u) for u in units])
         short = np.flatnonzero(size <= SHORT)
-        for lo in range(0, len(short), 1 << 15):
-            part = short[lo : lo + (1 << 15)]
+        for lo in range(0, len(short), 1 << 13):
+            part = short[lo : lo + (1 << 13)]
             for i, ids in zip(part, self._short([units[i] for i in part], size[part]), strict=True):
                 out[i] = ids
         for i in np.flatnonzero(size > SHORT):
@@ -323,6 +323,29 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
     return df.mapInArrow(run, _type(df, ids, "array<int>"))
 
 
+def encode_decode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the ids of each text and the text decoded from them, as ``encode`` and ``decode`` give, in one Python worker a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = sp.bytes_of(batch.column(text))
+            for lo, hi in sp.slices(offsets, SLICE):
+                a, b = offsets[lo], offsets[hi]
+                flat, count = load(model).encode(raw[a:b], offsets[lo : hi + 1] - a)
+                edges = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                part = _with_column(batch.slice(lo, hi - lo), ids, pa.ListArray.from_arrays(pa.array(edges), pa.array(flat)))
+                yield _with_column(part, decoded, _texts(*load(model).decode(flat, count)))
+
+    kept = df.drop(ids, decoded)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + [f"`{ids}` array<int>", f"`{decoded}` string"])
+    return kept.mapInArrow(run, schema)
+
+
+def _texts(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    values = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return pa.array(values, pa.string())
+
+
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of each list of ids (replacing a column of that name); null lists and lists of none give empty texts.
 
@@ -336,7 +359,6 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
                 part = column.slice(lo, 512)
                 count = np.diff(part.offsets.to_numpy()) if not part.null_count else np.array([len(x) if x else 0 for x in part.to_pylist()])
                 data, edges = load(model).decode(part.flatten().to_numpy(zero_copy_only=False), count)
-                values = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                yield _with_column(batch.slice(lo, 512), text, pa.array(values, pa.string()))
+                yield _with_column(batch.slice(lo, 512), text, _texts(data, edges))
 
     return df.mapInArrow(run, _type(df, text, "string"))

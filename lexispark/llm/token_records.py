@@ -242,7 +242,8 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                             keys, starts, ids, held = [], [], [], 0
                 yield _batch(row["part"], keys, starts, ids, schema)
 
-    spread = listed.repartition("part", "file")
+    # a task a file: a few bytes of names stand for all its records, so they must not be merged by size
+    spread = listed.repartition(max(1, sizes.count()))
     return spread.mapInArrow(read, "part int, doc_id bigint, start bigint, ids array<int>")
 
 

@@ -26,7 +26,7 @@ WINDOW = 1 << 20
 """Bytes scanned at once."""
 VERSION = b"WARC/1.1"
 DATE = "1970-01-01T00:00:00Z"
-WRITTEN = "file string, size bigint"
+WRITTEN = "file string, size bigint, records bigint"
 RECORDS = "file string, offset bigint, type string, uri string, record string, refers string, digest string, full_length bigint, payload binary"
 _RECORDS = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("type", pa.string()), ("uri", pa.string()), ("record", pa.string()), ("refers", pa.string()), ("digest", pa.string()), ("full_length", pa.int64()), ("payload", pa.binary())])
 
@@ -88,17 +88,17 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, out, at = f"pages-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:8]}.warc.gz", None, 0
+        name, out, at, n = f"pages-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:8]}.warc.gz", None, 0, 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 for row in batch.slice(lo, 64).to_pylist():
                     out = out or files.create(f"{folder}/data/{name}")
                     data = page_record(row)
                     out.write(data)
-                    at += len(data)
+                    at, n = at + len(data), n + 1
         if out:
             out.close()
-            yield pa.RecordBatch.from_pydict({"file": [name], "size": [at]})
+            yield pa.RecordBatch.from_pydict({"file": [name], "size": [at], "records": [n]})
 
     rows.mapInArrow(write, WRITTEN).write.parquet(f"{folder}/files")
     return pages.sparkSession.read.schema(WRITTEN).parquet(f"{folder}/files")
@@ -176,7 +176,9 @@ def read_archives(spark: SparkSession, folder: str, width: int = RANGE) -> DataF
     """
     listed = spark.read.schema(WRITTEN).parquet(f"{folder}/files")
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(width).cast("long"))
-    ranges = listed.select("file", "size", F.explode(starts).alias("start")).repartition("file", "start")
+    ranges = listed.select("file", "size", F.explode(starts).alias("start"))
+    # a task a range: a few bytes stand for all its records, so they must not be merged by size
+    ranges = ranges.repartition(max(1, ranges.count()))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,6 +196,13 @@ def read_archives(spark: SparkSession, folder: str, width: int = RANGE) -> DataF
     return ranges.mapInArrow(read, RECORDS)
 
 
+def incomplete_files(records: DataFrame, folder: str) -> DataFrame:
+    """``file, records, found``: files of the list of which fewer or more records were read than written."""
+    listed = records.sparkSession.read.schema(WRITTEN).parquet(f"{folder}/files")
+    found = records.groupBy("file").agg(F.count("*").alias("found"))
+    return listed.join(found, "file", "left").select("file", "records", F.coalesce("found", F.lit(0)).alias("found")).where("records <> found")
+
+
 def described(file: str, at: int, fields: dict[str, str], payload: bytes) -> dict:
     digest = fields.get("warc-payload-digest", "").rpartition(":")[2]
     return {
