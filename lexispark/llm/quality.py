@@ -156,13 +156,15 @@ def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", rules:
                 failed = base_failed(m.base)
                 kept = ~failed & (lost <= rules.lost * m.base["n_words"])
                 by_rule = np.stack([sp.counts(m.lines.row, n, f) for f in m.fails.T], 1)
-                # a failed line goes with the line end after it, or before it if it is the last
+                # a failed line goes with the line end after it; if the last line goes, so does the line end that is last then
                 keep = np.ones(len(data), bool)
-                start, end = m.lines.start[bad], m.lines.end[bad]
-                ends_text = end == own[m.lines.row[bad] + 1]
-                start = np.where(ends_text & (start > own[m.lines.row[bad]]), start - 1, start)
-                end = np.where(ends_text, end, end + 1)
-                keep[sp.ragged(start, end - start)] = False
+                start, end, row = m.lines.start[bad], m.lines.end[bad], m.lines.row[bad]
+                tail = end == own[row + 1]
+                keep[sp.ragged(start, end + ~tail - start)] = False
+                at = np.flatnonzero(keep)
+                stop = np.searchsorted(at, own[row[tail] + 1])
+                stop = stop[stop > np.searchsorted(at, own[row[tail]])]
+                keep[at[stop - 1][data[at[stop - 1]] == 10]] = False
                 edges = np.concatenate([[0], np.cumsum(keep)])[own].astype(np.int32)
                 rest = pa.StringArray.from_buffers(n, pa.py_buffer(edges.tobytes()), pa.py_buffer(data[keep].tobytes()))
                 failures = [[(name, int(c)) for name, c in zip(NAMES, row, strict=True) if c] for row in by_rule]

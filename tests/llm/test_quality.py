@@ -27,7 +27,7 @@ def test_base_counts(spark):
 
 
 def distinct_prose(n):
-    return "\n".join(f"Sentence {i} of the text says {i * 7} things, and number {i * 13} ends it well." for i in range(n))
+    return "\n".join(f"Sentence{i} of{i} text says{i} {i * 7} things, and{i} number {i * 13} ends{i} it well{i}." for i in range(n))
 
 
 def test_failed_lines_go(spark):
@@ -38,7 +38,7 @@ def test_failed_lines_go(spark):
 
 
 def test_texts_that_lose_too_much_are_rejected(spark):
-    junk = "\n".join(f"Item{i} | Item{i + 1} | Item{i + 2} | more{i} words{i}" for i in range(30))
+    junk = "\n".join(f"Item{i}a | Item{i}b | Item{i}c | more{i} words{i}" for i in range(30))
     got = clean_lines(frame(spark, rows([distinct_prose(10), junk, distinct_prose(2) + "\n" + junk]))).orderBy("doc_id").collect()
     assert [r.kept for r in got] == [True, False, False] and not any(r.base_failed for r in got)
 
