@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from . import spans as sp
 from .common import stored, texts
 
-SHARD = 6 << 20
+SHARD = 3 << 20
 """Bytes of text a shard; a longer document is a shard of its own."""
 QUERY_BLOCK = 4 << 20
 """Bytes of query text laid against the index at once."""
-CANDIDATES = 1 << 20
+CANDIDATES = 1 << 19
 """Places that are intersected at once."""
 INDEX = "shard string, docs array<bigint>, n_words array<bigint>, terms binary, ends binary, positions binary"
 MATCHES = "shard string, ord int, doc_id bigint, n_words bigint, runs array<struct<first:bigint,last:bigint>>, items array<string>"

@@ -24,7 +24,7 @@ PENALTY = 10.0
 SMOOTHING = 0.5
 SHARE = 0.01
 """A language uses a script if so many of its words are in it."""
-SLICE = 4 << 20
+SLICE = 2 << 20
 HELD = 32
 """Languages that a task counts at once."""
 SCRIPTS = 16
@@ -49,12 +49,13 @@ def letters_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[sp.Spans, np.ndarr
     # nothing crosses two texts
     edge = np.zeros(len(b) + 4, bool)
     edge[offsets] = True
-    near = [np.concatenate([np.zeros(2, np.uint32), b, np.zeros(1, np.uint32)])[i : i + len(b)] for i in range(4)]
-    near[0] = np.where(edge[: len(b)] | np.concatenate([[True], edge[: max(len(b) - 1, 0)]])[: len(b)], 0, near[0])
-    near[1] = np.where(edge[: len(b)], 0, near[1])
-    near[3] = np.where(edge[1 : len(b) + 1], 0, near[3])
-    code = near[0] << 24 | near[1] << 16 | near[2] << 8 | near[3]
-    bucket = ((code * np.uint32(2654435761)) >> np.uint32(14)).astype(np.int32)
+    code = b << 8
+    if len(b):
+        code[:-1] |= np.where(edge[1 : len(b)], 0, b[1:])
+        code[1:] |= np.where(edge[1 : len(b)], 0, b[:-1] << 16)
+        code[2:] |= np.where(edge[2 : len(b)] | edge[1 : max(len(b) - 1, 1)], 0, b[:-2] << 24)
+    code *= np.uint32(2654435761)
+    bucket = (code >> np.uint32(14)).view(np.int32)
     script = np.maximum.reduceat(np.append(SCRIPT[raw], 0), np.stack([words.start, words.end], 1).ravel())[::2] if len(words.start) else np.zeros(0, np.uint8)
     return words, bucket, script
 

@@ -8,8 +8,8 @@ import numpy as np
 
 from . import spans as sp
 
-LIMIT = 1_000_000
-"""Distinct ranges a worker keeps (about 30 MB); then it starts anew."""
+LIMIT = 500_000
+"""Distinct ranges a worker keeps (about 15 MB); then it starts anew."""
 
 
 def hash_ranges(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 """Bytes worked on at once; a longer text is cut between two spans."""
 
 _BASE = 0x9E3779B97F4A7C15
