@@ -361,6 +361,15 @@ def _f1_on(model_of: Callable, params: dict, train: DataFrame, parts: Sequence[D
     return [summary(model.predict(part)).first().f1_score for part in parts]
 
 
+def _f1_of_cuts(model_of: Callable, points: list[dict], train: DataFrame, test: DataFrame) -> list[float | None]:
+    """Weighted F1 of points that share a fit; no scores where the rows cannot be fitted (a single class)."""
+    if train.select("label").distinct().limit(2).count() < 2:
+        return [None] * len(points)
+    scored = model_of(**model_of.largest(points)).fit(train).predict_cuts(test, points)
+    found = {r.point: r.f1_score for r in summary(scored, ["point"]).collect()}
+    return [found.get(i) for i in range(len(points))]
+
+
 def grid_search(
     model_of: Callable,
     vectors: DataFrame,
@@ -372,18 +381,28 @@ def grid_search(
     """Fit every grid point on every fold, then the best one on all rows.
 
     ``vectors`` holds ``fold``, ``label`` and ``features`` and should be cached. Fits run as
-    concurrent Spark jobs from a bounded thread pool; only one score per fit reaches the driver.
+    concurrent Spark jobs from a bounded thread pool; only one score per point and fold reaches the
+    driver. Points that a classifier can read off one fit (``same_fit``) share it.
     """
     start = time.time()
     tasks = [(i, f) for i in range(len(grid)) for f in range(k)]
+    fits: dict = {}
+    for i, params in enumerate(grid):
+        fits.setdefault(model_of.same_fit(params) if hasattr(model_of, "same_fit") else i, []).append(i)
+    shared = [(points, f) for points in fits.values() for f in range(k)]
 
     def run(task):
-        i, f = task
+        points, f = task
         held_out = F.col("fold") == f
-        return _f1_on(model_of, grid[i], vectors.where(~held_out), [vectors.where(held_out)])[0]
-
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        scores = pool.map(run, tasks)
+        train, test = vectors.where(~held_out), vectors.where(held_out)
+        if len(points) == 1:
+            return _f1_on(model_of, grid[points[0]], train, [test])
+        return _f1_of_cuts(model_of, [grid[i] for i in points], train, test)
+
+    with ThreadPool(max(1, min(parallelism, len(shared)))) as pool:
+        found = pool.map(run, shared, chunksize=1)
+    score_of = {(i, f): x for (points, f), part in zip(shared, found) for i, x in zip(points, part)}
+    scores = [score_of[task] for task in tasks]
     spark = vectors.sparkSession
     rows = [
         ({name: str(value) for name, value in grid[i].items()}, i, f, score) for (i, f), score in zip(tasks, scores)

@@ -14,7 +14,7 @@ from lexispark.functions.stopwords import load_stopwords
 from lexispark.operators import corpus_stats as cs
 from lexispark.operators import metrics as mt
 from lexispark.operators import selection as sel
-from lexispark.operators.classifiers import CLASSIFIERS, RUN_PARAMETERS
+from lexispark.operators.classifiers import CLASSIFIERS, RUN_PARAMETERS, SEARCH_GRIDS
 from lexispark.operators.features import FeatureExtractor, shapes
 from lexispark.operators.labels import balanced_weights, class_sizes, class_table
 from lexispark.operators.naive_bayes import NaiveBayes
@@ -682,11 +682,11 @@ def forest_importances(spark, folder):
 
 @query
 def grid_search_ml(spark, folder):
-    """Search over a part of the tree grid; the whole grid runs the same way."""
+    """Search over the whole tree grid."""
     _, train, _ = vectors(spark, folder)
     folds = sel.stratified_folds(train.select("doc_id", "label"))
     rows = cached(train.join(folds.select("doc_id", "fold"), "doc_id"))
-    grid = sel.parameter_grid({"criterion": ["gini", "entropy"], "max_depth": [5], "min_samples_leaf": [1, 4]})
+    grid = sel.parameter_grid(SEARCH_GRIDS["decision_tree"])
     _, report = sel.grid_search(CLASSIFIERS["decision_tree"], rows, grid)
     return report["cv_results"].select(
         F.array_join(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("params"),
