@@ -2,7 +2,8 @@
 
 A page is read once into blocks of text, each with the path of containers it lies in. Paragraphs give points for their length and
 their commas to the nearest containers above; a container's points are discounted by its share of link text and
-moved by what its tag, class and id say. The best container is the article, and neighbours that score like it or read like
+moved by what its tag, class and id say. A name like ``sidebar`` or ``header`` leaves a container out, unless it is also named like
+an article or holds it: then the name only lowers its points. The best container is the article, and neighbours that score like it or read like
 prose are kept with it; what lies in menus, forms, adverts or comments inside them is left out.
 """
 
@@ -31,6 +32,8 @@ UNLIKELY = re.compile(
     r"navbar|navigation|newsletter|notice|alert|pager|pagination|popup|modal|overlay|promo|related|recommended|share|sharing|social|sidebar|side|skip|sponsor(?:ed)?|subscribe|toolbar|widget|rail)(?:$|[\s_-])"
 )
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text|blog|prose)(?:$|[\s_-])")
+#: Names of readers' comments, which can hold most paragraphs of a page, and in elements named article, without being its text.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])")
 UNLIKELY_ROLES = frozenset("navigation banner complementary contentinfo search alert alertdialog dialog menu menubar".split())
 SPACE = re.compile(r"[ \t\n\r\f\v\x1c-\x1f\x85\xa0  -     　]+")
 
@@ -41,7 +44,7 @@ ENDED = re.compile(r"[.!?]( |$)")
 class Node:
     """An open or closed element that holds blocks."""
 
-    __slots__ = ("tag", "up", "depth", "weight", "out", "points", "size", "links", "likely")
+    __slots__ = ("tag", "up", "depth", "weight", "never", "named", "comments", "sure", "out", "points", "size", "links", "likely", "held", "main")
 
     def __init__(self, tag: str, up: Node | None, attrs: dict):
         self.tag, self.up = tag, up
@@ -49,11 +52,18 @@ class Node:
         hint = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
         role = (attrs.get("role") or "").lower()
         self.likely = bool(LIKELY.search(hint)) or role in ("main", "article")
-        named = bool(UNLIKELY.search(hint)) or role in UNLIKELY_ROLES
+        unlikely, by_role = bool(UNLIKELY.search(hint)), role in UNLIKELY_ROLES
         hidden = "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
-        self.out = bool(up and up.out) or tag in OUTSIDE or hidden or (named and tag not in ("html", "body", "article", "main"))
-        self.weight = TAG_POINTS.get(tag, 0) + (25 if self.likely else 0) - (25 if named else 0)
-        self.points, self.size, self.links = 0.0, 0, 0
+        free = tag in ("html", "body", "article", "main")
+        self.never = bool(up and up.never) or tag in OUTSIDE or hidden or (by_role and not free)
+        self.named = unlikely and not free
+        self.comments = self.named and bool(COMMENTS.search(hint))
+        # one name is an article's and nothing else: 'content has-sidebar', but not 'post-sidebar'
+        self.sure = self.named and any(LIKELY.search(x) and not UNLIKELY.search(x) for x in hint.split())
+        self.main = tag == "main" or role == "main"
+        self.weight = TAG_POINTS.get(tag, 0) + (25 if self.likely else 0) - (25 if unlikely or by_role else 0)
+        self.out = self.never
+        self.points, self.size, self.links, self.held = 0.0, 0, 0, 0.0
 
 
 class Reader(HTMLParser):
@@ -150,14 +160,59 @@ def density(node: Node) -> float:
     return node.links / node.size if node.size else 0.0
 
 
+def counted(node: Node, paragraph: bool) -> bool:
+    """Whether a block of this container gives points, names aside."""
+    return not node.never and (paragraph or node.tag in ("div", "section", "article", "main", "body", "html"))
+
+
+def points_of(text: str) -> float:
+    return 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
+
+
+def leave_out(page: Reader) -> bool:
+    """Marks what the names of containers leave out; false if no name does.
+
+    A container of an unlikely name stays if it is surely named like an article too, or holds the page's main part, the article
+    with the most points or more than half of all points (comments: the main part only).
+    """
+    if not any(n.named for n in page.nodes):
+        return False
+    total = 0.0
+    for text, _, node, paragraph in page.blocks:
+        if counted(node, paragraph):
+            node.held += points_of(text)
+            total += points_of(text)
+    for node in reversed(page.nodes):  # what lies in a container counts for those above
+        if node.up is not None:
+            node.up.held += node.held
+            node.up.main |= node.main and not node.never
+    best = max((n for n in page.nodes if n.tag == "article" and not n.never and not in_comments(n)), key=lambda n: n.held, default=None)
+    above = set()
+    while best is not None and best.held:
+        above.add(id(best))
+        best = best.up
+    for n in page.nodes:  # those above come first
+        kept = n.sure or n.main or (not n.comments and (id(n) in above or n.held > total / 2))
+        n.out = n.never or bool(n.up and n.up.out) or (n.named and not kept)
+    return any(n.out and not n.never for n in page.nodes)
+
+
+def in_comments(node: Node | None) -> bool:
+    while node is not None and not node.comments:
+        node = node.up
+    return node is not None
+
+
 def scored(page: Reader) -> dict[int, float]:
     """Points of the containers (by place in ``page.nodes``) that have any."""
+    for n in page.nodes:
+        n.points, n.size, n.links = 0.0, 0, 0
     for text, linked, node, paragraph in page.blocks:
         node.size += len(text)
         node.links += linked
-        if node.out or not (paragraph or node.tag in ("div", "section", "article", "main", "body", "html")):
+        if node.out or not counted(node, paragraph):
             continue
-        points = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
+        points = points_of(text)
         up = node.up if paragraph and node.up is not None else node
         for share in (1, 2, 6):
             if up is None:
@@ -172,10 +227,23 @@ def scored(page: Reader) -> dict[int, float]:
 
 
 def main_text(html: str | None) -> str:
-    """The blocks of the article in page order, joined by one blank; empty if there are none."""
+    """The blocks of the article in page order, joined by one blank; empty if there are none.
+
+    If names leave nothing of a page, it is scored again without them.
+    """
     if not html:
         return ""
     page = read_page(html)
+    named = leave_out(page)
+    text = article(page)
+    if named and not text:
+        for n in page.nodes:
+            n.out = n.never
+        text = article(page)
+    return text
+
+
+def article(page: Reader) -> str:
     score = scored(page)
     if not score:
         return ""
