@@ -9,6 +9,7 @@ files that the offset table names count: an attempt that was lost leaves nothing
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -126,14 +127,31 @@ class ByteEncoder:
     """Ids of texts by a byte-level BPE file of the ``tokenizers`` library.
 
     The file's pre-tokens are cut for many texts at once, and the library's model encodes every distinct one once
-    (invented or rare words keep the library's own small cache from helping). Strings of special tokens are ordinary text.
+    (invented or rare words keep the library's own small cache from helping). As in the library, the strings of the file's added
+    tokens are cut out of a text first and have one id each; with ``encode_special_tokens`` those of special ones are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path).model
+        library = Tokenizer.from_file(path)
+        self.model = library.model
         self.cache = PieceCache()
+        added = {i: t for i, t in library.get_added_tokens_decoder().items() if t.content and not (t.special and encode_special_tokens)}
+        for t in added.values():
+            if t.lstrip or t.rstrip or t.single_word or (t.normalized and library.normalizer is not None):
+                raise ValueError(f"added token {t.content!r}: lstrip, rstrip, single_word and normalized are not supported")
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        # the longest of those that begin at a place
+        self.pattern = re.compile(b"|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True))) if self.added else None
+
+    def cut_out(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Byte ranges of added tokens, none across two texts."""
+        data = raw.tobytes()
+        if self.pattern is None or not any(x in data for x in self.added):
+            return np.zeros((0, 2), np.int64)
+        found = [(a + m.start(), a + m.end()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in self.pattern.finditer(data[a:b])]
+        return np.array(found, np.int64).reshape(-1, 2)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts and the number of ids of each."""
@@ -143,7 +161,13 @@ class ByteEncoder:
         cp = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         edges = before[offsets]
-        start = pretoken_starts(cp, edges)
+        whole = before[self.cut_out(raw, offsets)]
+        start = pretoken_starts(cp, np.union1d(edges, whole))
+        for_one = np.searchsorted(start, whole)
+        inner = np.zeros(len(start) + 1, np.int64)
+        np.add.at(inner, for_one[:, 0] + 1, 1)
+        np.add.at(inner, for_one[:, 1], -1)
+        start = start[np.cumsum(inner)[:-1] == 0]
         end = np.append(start[1:], len(cp))
         letters = byte_letters()
 
@@ -151,7 +175,7 @@ class ByteEncoder:
             out = []
             for p in places:
                 data = cp[start[p] : end[p]].tobytes().decode("utf-32-le").encode()
-                out.append([t.id for t in self.model.tokenize(data.decode("latin-1").translate(letters))])
+                out.append([self.added[data]] if data in self.added else [t.id for t in self.model.tokenize(data.decode("latin-1").translate(letters))])
             return out
 
         ids, length = self.cache.encode(hash_ranges(cp, start, end), new)
@@ -161,8 +185,8 @@ class ByteEncoder:
 
 @lru_cache(maxsize=2)
 def byte_encoder(path: str) -> ByteEncoder:
-    """One encoder a worker process; the path is that of an installed file."""
-    return ByteEncoder(path)
+    """One encoder a worker process, with the library's default settings; the path is that of an installed file."""
+    return ByteEncoder(path, encode_special_tokens=False)
 
 
 # Writing and reading ------------------------------------------------------------------------------
@@ -171,6 +195,7 @@ def byte_encoder(path: str) -> ByteEncoder:
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, vocabulary: int = 1 << 16, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes every text's ids and ``end_id`` in ascending order of the key; returns the offset table (stored in ``folder``).
 
+    The ids are those of the library's ``encode`` without ``add_special_tokens``: the string of an added token is its one id.
     Null texts are empty, so only ``end_id`` is written. Rows without an id come first, rows with the same id are in order of
     their text's hash. Ids take two bytes if the vocabulary has at most 65,536 entries, else four. An empty table
     writes an empty offset table.
