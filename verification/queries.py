@@ -697,8 +697,7 @@ def grid_search_ml(spark, folder):
 
 def projected(spark, folder, method):
     docs = clean(documents(spark, folder)).select("doc_id", "label", "tokens")
-    extractor = FeatureExtractor(max_features=300).fit(docs)
-    return project(extractor.transform(docs), docs, extractor.vectors(docs), method)
+    return project(FeatureExtractor().fit_transform(docs), docs, method=method)
 
 
 @query
