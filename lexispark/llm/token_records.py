@@ -189,18 +189,30 @@ def byte_encoder(path: str) -> ByteEncoder:
     return ByteEncoder(path, encode_special_tokens=False)
 
 
+def vocabulary_of(path: str) -> int:
+    """One more than the largest id of a tokenizer file."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=-1) + 1
+
+
 # Writing and reading ------------------------------------------------------------------------------
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, vocabulary: int = 1 << 16, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, vocabulary: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes every text's ids and ``end_id`` in ascending order of the key; returns the offset table (stored in ``folder``).
 
     The ids are those of the library's ``encode`` without ``add_special_tokens``: the string of an added token is its one id.
     Null texts are empty, so only ``end_id`` is written. Rows without an id come first, rows with the same id are in order of
-    their text's hash. Ids take two bytes if the vocabulary has at most 65,536 entries, else four. An empty table
-    writes an empty offset table.
+    their text's hash. Ids take two bytes if the vocabulary (without one: the tokenizer file and ``end_id``) has at most
+    65,536 entries, else four; an id beyond its bytes is an error. An empty table writes an empty offset table.
     """
+    if vocabulary is None:
+        vocabulary = max(vocabulary_of(tokenizer), end_id + 1)
     width = 2 if vocabulary <= 1 << 16 else 4
+    top = (1 << 8 * width) - 1
+    if not 0 <= end_id <= top:
+        raise ValueError(f"end_id {end_id} does not fit into {width} bytes")
     # rows alike in id and text are dealt over ranges too
     ordered = texts(docs, key, text=text).withColumns({"_0": F.col("_0").cast("long"), "_h": F.xxhash64("_text"), "_k": F.monotonically_increasing_id()})
     ordered = ordered.repartitionByRange("_0", "_h", "_k").sortWithinPartitions("_0", "_h", "_k").select("_0", "_text")
@@ -214,6 +226,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, voc
             for lo, hi in sp.slices(offsets, SLICE):
                 a, b = offsets[lo], offsets[hi]
                 ids, count = encoder.encode(raw[a:b], offsets[lo : hi + 1] - a)
+                if len(ids) and ids.max() > top:
+                    raise ValueError(f"id {ids.max()} does not fit into {width} bytes: the vocabulary given is too small")
                 cut = np.concatenate([[0], np.cumsum(count)])
                 packed = ids.astype(f"<u{width}")
                 places, tail = [], np.array([end_id], f"<u{width}").tobytes()
