@@ -20,8 +20,9 @@ class RunConfig:
     test_path: str
     results_dir: str
     data_format: str = "csv"
-    multi_line: bool = False
-    """Set it for CSV files with line ends inside quotes; such a file is read by one task."""
+    multi_line: bool = True
+    """CSV texts may hold line ends inside quotes, so a file is read by one task. Switch it off only for files
+    known to have none: they are split between tasks, and a text with a line end would be cut there."""
     label_type: str = "string"
     text_column: str = "text"
     label_column: str = "label"
