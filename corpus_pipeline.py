@@ -47,10 +47,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with ten words in a row of a benchmark item go."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    """Documents with ten words in a row of a benchmark item go.
+
+    Each row goes by its own text, also without an id or with one that other rows share: rows are known by a hash of id and text.
+    """
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("_row"))
+    found = contamination(keyed.select("_row", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"), key="_row")
+    gone = found.where("contaminated").select("_row").distinct()
+    return keyed.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
