@@ -10,6 +10,8 @@ from . import spans as sp
 
 LIMIT = 500_000
 """Distinct ranges a worker keeps (about 15 MB); then it starts anew."""
+IDS = 4_000_000
+"""Ids of those ranges that it keeps (16 MB): long ranges have many."""
 
 
 def hash_ranges(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -36,7 +38,7 @@ class PieceCache:
         ``encode`` gets the places (in ``hashes``) of one range of each unknown hash and returns their ids.
         """
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hash) > LIMIT:
+        if len(self.hash) > LIMIT or len(self.ids) > IDS:
             self.__init__()
         place = np.searchsorted(self.hash, distinct)
         known = np.zeros(len(distinct), bool)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from . import bpe_units as pairs
 from . import sentencepiece_units as units
 from . import token_records as records
 from .common import shared_folder, table
@@ -93,3 +94,10 @@ def op9_language_id(spark, folder):
 def op10_line_dedup(spark, folder):
     docs = dedup_lines(table(spark, folder, "documents", "doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@query
+def op12_bpe(spark, folder):
+    back = pairs.encode_decode(table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    n_tokens = (F.length("ids") / 4).cast("long").alias("n_tokens")
+    return back.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
