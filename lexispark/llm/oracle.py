@@ -107,7 +107,64 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items s USING (doc_id)"""
 
 
-SQL = (op4_near_dup, op5_quality_rules, op7_decontamination, op8_warc, op10_line_dedup,)
+def op11_conversation_repair() -> str:
+    """The repair as a shortest way through the states, turn by turn; at most two insertions in a row can pay."""
+    return r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT) AS bytes FROM conversations),
+coded AS (
+  SELECT conv_id, turn, role, text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code FROM given, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE code WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded WHERE code <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    left(role, 1) AS k, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM hurt),
+faults AS MATERIALIZED (
+  SELECT *, CASE WHEN body = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(k) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM numbered),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || k NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM faults GROUP BY conv_id),
+inserts(s, s2, c, w) AS (VALUES (0,0,0,''), (0,2,5,'I'), (0,3,10,'II'), (1,1,0,''), (1,2,5,'I'), (1,3,10,'II'), (2,2,0,''), (2,3,5,'I'), (3,3,0,''), (3,2,5,'I')),
+acts(s, k, s2, c, w) AS (VALUES (0,'s',1,0,'K'), (0,'u',2,0,'K'), (1,'u',2,0,'K'), (3,'u',2,0,'K'), (2,'a',3,0,'K'),
+  (0,'*',2,1,'R'), (1,'*',2,1,'R'), (3,'*',2,1,'R'), (2,'*',3,1,'R'), (0,'*',0,2,'D'), (1,'*',1,2,'D'), (2,'*',2,2,'D'), (3,'*',3,2,'D')),
+steps AS MATERIALIZED (SELECT i.s, a.k, a.s2, i.c + a.c AS c, i.w || a.w AS w, a.w AS act FROM inserts i JOIN acts a ON a.s = i.s2),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, {'c': 0, 'w': ''} AS way FROM counts
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, t.s2, min({'c': w.way.c + t.c + CASE WHEN f.fault = 't' AND t.act <> 'D' THEN 5 ELSE 0 END, 'w': w.way.w || t.w})
+  FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+  JOIN steps t ON t.s = w.s AND t.k IN ('*', f.k) AND (t.act = 'D' OR f.fault NOT IN ('b', 'd'))
+  GROUP BY w.conv_id, w.i, t.s2),
+best AS (
+  SELECT c.conv_id, min({'c': w.way.c + i.c, 'w': w.way.w || i.w}) AS way
+  FROM counts c JOIN ways w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n JOIN inserts i ON i.s = w.s AND i.s2 IN (0, 3) GROUP BY c.conv_id),
+letters AS (SELECT conv_id, way.w AS w, unnest(range(1, length(way.w) + 1)) AS p FROM best),
+edits AS (
+  SELECT conv_id, p, substr(w, p, 1) AS e, length(replace(left(w, p), 'I', '')) AS i, length(replace(left(w, p), 'D', '')) AS q FROM letters),
+placed AS (
+  SELECT e.conv_id, e.p, e.e, e.q, f.role, f.text, f.k,
+    max(CASE WHEN e.q = 1 AND e.e = 'K' AND f.k = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS sys
+  FROM edits e LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i AND e.e <> 'I' WHERE e.e <> 'D'),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (q - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS t
+  FROM placed GROUP BY conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+  coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(b.way.c, 0)::BIGINT AS cost, coalesce(b.way.w, '') AS audit,
+  sha256(coalesce(t.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
+SQL = (op11_conversation_repair, op4_near_dup, op5_quality_rules, op7_decontamination, op8_warc, op10_line_dedup,)
 
 
 def oracle_sql() -> dict[str, str]:

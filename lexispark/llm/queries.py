@@ -9,6 +9,7 @@ from . import bpe_units as pairs
 from . import sentencepiece_units as units
 from . import token_records as records
 from .common import shared_folder, table
+from .conversations import damaged, repaired_digests
 from .decontam import contamination
 from .language_id import languages
 from .line_dedup import dedup_lines
@@ -96,6 +97,12 @@ def op10_line_dedup(spark, folder):
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+@query
+def op11_conversation_repair(spark, folder):
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    return repaired_digests(damaged(turns), turns)
+
+
 @query
 def op12_bpe(spark, folder):
     back = pairs.encode_decode(table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))

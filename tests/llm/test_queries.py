@@ -11,7 +11,7 @@ from lexispark.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     df = QUERIES[name](spark, sf_dir)
     sql = con.sql(oracle_sql()[name])
