@@ -164,7 +164,23 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv
 LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM o.conv_id"""
 
 
-SQL = (op11_conversation_repair, op4_near_dup, op5_quality_rules, op7_decontamination, op8_warc, op10_line_dedup,)
+def op13_hard_negatives() -> str:
+    return """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, n.id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id) WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.id) QUALIFY row_number() OVER w <= 5"""
+
+
+SQL = (op13_hard_negatives, op11_conversation_repair, op4_near_dup, op5_quality_rules, op7_decontamination, op8_warc, op10_line_dedup,)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,6 +11,7 @@ from . import token_records as records
 from .common import shared_folder, table
 from .conversations import damaged, repaired_digests
 from .decontam import contamination
+from .hard_negatives import hard_negatives
 from .language_id import languages
 from .line_dedup import dedup_lines
 from .main_text import extract
@@ -108,3 +109,12 @@ def op12_bpe(spark, folder):
     back = pairs.encode_decode(table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
     n_tokens = (F.length("ids") / 4).cast("long").alias("n_tokens")
     return back.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_hard_negatives(spark, folder):
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    # a double of that size is whole, and too large for floor()
+    whole = F.transform("embedding", lambda x: F.when(F.abs(256 * x.cast("double")) < 2.0**52, F.floor(256 * x.cast("double")).cast("double")).otherwise(256 * x.cast("double")))
+    return hard_negatives(rows.select("vec_id", label.alias("label"), whole.alias("vector")), F.col("vec_id") % 100 == 0)
