@@ -25,6 +25,7 @@ RANGE = 8 << 20
 WINDOW = 1 << 20
 """Bytes scanned at once."""
 VERSION = b"WARC/1.1"
+ANY = b"WARC/"
 DATE = "1970-01-01T00:00:00Z"
 WRITTEN = "file string, size bigint, records bigint"
 RECORDS = "file string, offset bigint, type string, uri string, record string, refers string, digest string, full_length bigint, payload binary"
@@ -126,53 +127,64 @@ def page_record(row: dict) -> bytes:
 # Reading ------------------------------------------------------------------------------------------
 
 
-def member(f, at: int, size: int, probe: bool) -> bytes | None:
-    """The decoded member at a place; with ``probe`` None unless it starts like a WARC record."""
+def member(f, at: int, size: int) -> tuple[bytes | None, int] | None:
+    """The decoded member at a place and where it ends; None if it does not start like a WARC record.
+
+    A member that starts like one and is damaged or cut off (also by the end of a file that is shorter than listed) has no data.
+    """
+    f.seek(at)
+    data = f.read(min(1 << 16, size - at))
+    try:
+        if zlib.decompressobj(31).decompress(data, len(ANY)) != ANY:
+            return None
+    except zlib.error:
+        return None
     unpack, out, place = zlib.decompressobj(31), [], at
     try:
-        while place < size and not unpack.eof:
-            f.seek(place)
-            data = f.read(min(WINDOW if out else 1 << 16, size - place))
+        while data and not unpack.eof:
             out.append(unpack.decompress(data))
             place += len(data)
-            if probe and not (out[0] or VERSION[:5]).startswith(VERSION[: min(5, len(out[0]) or 5)]):
-                return None
+            if not unpack.eof:
+                f.seek(place)
+                data = f.read(max(0, min(WINDOW, size - place)))
     except zlib.error:
-        return None
-    if not unpack.eof:
-        return None
-    data = b"".join(out)
-    return data if data.startswith(VERSION[:5]) else None
+        return None, at + 1
+    return (b"".join(out), place - len(unpack.unused_data)) if unpack.eof else (None, at + 1)
 
 
-def records_of(f, size: int, start: int, stop: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Place, fields and payload of every record that starts in a byte range."""
+def records_of(f, size: int, start: int, stop: int) -> Iterator[tuple[int, dict[str, str] | None, bytes]]:
+    """Place, fields and payload of every record that starts in a byte range; no fields for a damaged one.
+
+    The search goes on behind a whole member, so what a payload holds is not taken for a record of the archive.
+    """
     place = start
     while place < stop:
         f.seek(place)
         # a magic that begins in the range can end beyond it
         data = f.read(min(WINDOW, stop - place) + len(MAGIC) - 1)
+        if not data:
+            return
         found = data.find(MAGIC)
-        while found >= 0:
-            at = place + found
-            if at >= stop:
-                break
-            decoded = member(f, at, size, probe=True)
-            if decoded is not None:
-                try:
-                    fields, payload = parse(decoded)
-                    yield at, fields, payload
-                except (ValueError, KeyError):
-                    pass
-            found = data.find(MAGIC, found + 1)
-        place += WINDOW
+        if found < 0 or place + found >= stop:
+            place += WINDOW
+            continue
+        at = place + found
+        decoded = member(f, at, size)
+        place = at + 1
+        if decoded is not None:
+            whole, place = decoded
+            try:
+                fields, payload = parse(whole) if whole is not None else (None, b"")
+            except (ValueError, KeyError):
+                fields, payload = None, b""
+            yield at, fields, payload
 
 
 def read_archives(spark: SparkSession, folder: str, width: int = RANGE) -> DataFrame:
     """All records of the listed files, read in ranges of ``width`` bytes: see ``RECORDS``; ``digest`` is hexadecimal.
 
     ``full_length`` is the length of the whole payload, which a revisit has too (a field of its own). Records of other tools that lack a field
-    have null there. Files in the folder that the list doesn't name are not read.
+    have null there. A damaged record has the type ``damaged`` and nothing else. Files in the folder that the list doesn't name are not read.
     """
     listed = spark.read.schema(WRITTEN).parquet(f"{folder}/files")
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(width).cast("long"))
@@ -199,11 +211,13 @@ def read_archives(spark: SparkSession, folder: str, width: int = RANGE) -> DataF
 def incomplete_files(records: DataFrame, folder: str) -> DataFrame:
     """``file, records, found``: files of the list of which fewer or more records were read than written."""
     listed = records.sparkSession.read.schema(WRITTEN).parquet(f"{folder}/files")
-    found = records.groupBy("file").agg(F.count("*").alias("found"))
+    found = records.where(~F.col("type").eqNullSafe("damaged")).groupBy("file").agg(F.count("*").alias("found"))
     return listed.join(found, "file", "left").select("file", "records", F.coalesce("found", F.lit(0)).alias("found")).where("records <> found")
 
 
-def described(file: str, at: int, fields: dict[str, str], payload: bytes) -> dict:
+def described(file: str, at: int, fields: dict[str, str] | None, payload: bytes) -> dict:
+    if fields is None:
+        return dict.fromkeys(_RECORDS.names) | {"file": file, "offset": at, "type": "damaged"}
     digest = fields.get("warc-payload-digest", "").rpartition(":")[2]
     return {
         "file": file, "offset": at, "type": fields.get("warc-type"), "uri": fields.get("warc-target-uri"),
@@ -220,13 +234,13 @@ def full_length(fields: dict[str, str]) -> int | None:
 def archived_pages(records: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of records that this module wrote.
 
-    A response whose payload differs from its digest stops the job: an archive that was damaged is not passed on.
+    A damaged record, or a response whose payload differs from its digest, stops the job: an archive that was damaged is not passed on.
     """
 
     def page(column: str):
         return F.nullif(F.regexp_extract(column, "<urn:page:(-?[0-9]*)>", 1), F.lit("")).cast("long")
 
-    whole = F.sha1("payload") == F.col("digest")
-    checked = F.when((F.col("type") == "revisit") | whole, F.col("digest")).otherwise(F.raise_error(F.concat(F.lit("payload differs from its digest: "), F.coalesce("record", F.lit("")))))
+    whole = (F.sha1("payload") == F.col("digest")) & ~F.col("type").eqNullSafe("damaged")
+    checked = F.when((F.col("type") == "revisit") | whole, F.col("digest")).otherwise(F.raise_error(F.concat(F.lit("payload differs from its digest: "), F.coalesce("record", F.concat_ws(" ", "file", "offset")))))
     length = F.when(F.col("type") == "revisit", F.col("full_length")).otherwise(F.octet_length("payload").cast("long"))
     return records.select(page("record").alias("page_id"), length.alias("payload_bytes"), checked.alias("payload_digest"), F.col("type").alias("record_type"), page("refers").alias("refers_to"))

@@ -77,9 +77,29 @@ def test_damage_is_found(spark, tmp_path):
     name = glob.glob(f"{tmp_path}/w/data/*.warc.gz")[0]
     whole = open(name, "rb").read()
     open(name, "wb").write(whole[: len(whole) - 30])
+    records = warc.read_archives(spark, folder)
+    assert warc.incomplete_files(records, folder).count() == 1 and records.where("type = 'damaged'").count() == 1
+    with pytest.raises(Exception, match="payload differs from its digest"):
+        warc.archived_pages(records).collect()
+    open(name, "wb").write(b"")
     assert warc.incomplete_files(warc.read_archives(spark, folder), folder).count() == 1
 
 
+def test_a_record_inside_a_payload_is_no_record_of_the_archive(tmp_path):
+    inner = warc.page_record({"_0": 5, "_1": "u", "_2": "inner", "_digest": "0" * 40, "_bytes": 5, "_first": None})
+    outer = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:page:1>")], b"HTTP/1.1 200 OK\r\n\r\n", inner)
+    pack = zlib.compressobj(0, zlib.DEFLATED, 31)
+    stored = pack.compress(zlib.decompress(outer, 31)) + pack.flush()
+    broken = bytearray(inner)
+    broken[len(inner) // 2] ^= 255
+    name = tmp_path / "x.warc.gz"
+    name.write_bytes(stored + inner + bytes(broken) + inner)
+    with open(name, "rb") as f:
+        found = list(warc.records_of(f, name.stat().st_size, 0, name.stat().st_size))
+    assert [x[1] and x[1]["warc-record-id"] for x in found] == ["<urn:page:1>", "<urn:page:5>", None, "<urn:page:5>"]
+    assert found[0][2] == inner
+
+
 def test_empty_table(spark, tmp_path):
     folder = f"file:{tmp_path}/w"
     warc.write_archives(pages(spark, []), folder)
