@@ -7,12 +7,13 @@ length times the bound falls below what it still looks for, which certifies that
 1. positives: its k best candidates of the same label, first in the head of the list, then, with the k-th best known, in the rest;
 2. negatives: for each positive the k best candidates of other labels whose score lies in a window below the positive's.
 
-A list is never one piece: it is dealt over pieces by hash, each of which is sorted and walked by itself, and many members of a cluster are dealt over
-chunks. Candidates whose bound is below what any member of a cluster needs are not sent there at all. Scores are exact integers.
+A list's entries are blocks of candidates of like bound. It is never one piece: blocks are dealt over pieces by hash, each of which is sorted and walked by
+itself, and many members of a cluster are dealt over chunks. Candidates whose bound is below what any member of a cluster needs are not sent there at all. Scores are exact integers.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,16 +23,17 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-CLUSTERS = 16
+CLUSTERS = (4, 16, 64)
+"""Numbers of clusters, of which the one is taken that is likely to send the fewest candidates to lists."""
 SAMPLE = 4096
 """Anchors that the centres are fitted on, and candidates that say where a list's head ends; neither changes a result."""
 HEAD = 1 / 32
 """Share of a list that is its head."""
-CHUNK, PIECE = 16_384, 131_072
-"""Members, and candidates, that a task has of one cluster (about)."""
+CHUNK, PIECE, LEAST = 16_384, 131_072, 4096
+"""Members, and candidates, that a task has of one cluster (about), and the fewest candidates worth a task."""
 TASKS = 20_000
-BLOCK, CELLS = 1024, 1 << 21
-"""Candidates scored at once, and scores held at once."""
+BLOCK, CELLS = 512, 1 << 21
+"""Candidates of like bound that travel and are scored together, and scores held at once."""
 NONE, LOW, HIGH = np.iinfo(np.int64).max, -(1 << 62), 1 << 62
 """Id of a row without one, and the bounds of a window without one."""
 SLACK = 1e-6
@@ -63,10 +65,10 @@ class Shape:
         flat = column.values.to_numpy()
         return [np.pad(flat[a:b], (0, self.dim - (b - a))).astype(self.packed).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
-    def matrix(self, column: pa.Array) -> np.ndarray:
-        """The vectors of a column as doubles."""
-        raw = b"".join(column.to_pylist())
-        return np.frombuffer(raw, self.packed).reshape(len(column), -1 if len(raw) else self.dim).astype(np.float64)
+    def matrix(self, packed: pa.Array | bytes) -> np.ndarray:
+        """The vectors of a column, or of a block, as doubles."""
+        raw = packed if isinstance(packed, bytes) else b"".join(packed.to_pylist())
+        return np.frombuffer(raw, self.packed).reshape(-1, self.dim).astype(np.float64)
 
     def scored(self, m: np.ndarray) -> np.ndarray:
         """The same for products; whole numbers of any size if no float holds them."""
@@ -122,6 +124,24 @@ def bounds(m: np.ndarray, c: np.ndarray, widest: np.ndarray) -> np.ndarray:
     return norm[:, None] * (np.cos(np.maximum(0, angle - widest[None, :])) + SLACK)
 
 
+def grouped(anchors: np.ndarray, candidates: np.ndarray, numbers: tuple[int, ...]) -> np.ndarray:
+    """Centres in the number that sends the fewest candidates to lists, judged by samples: a member needs no less than its best score."""
+    length = unit(anchors)[1]
+    need = np.concatenate([(a @ candidates.T).max(axis=1) for a in np.array_split(anchors, max(1, len(anchors) // 256))]) / np.where(length > 0, length, 1)
+    kept = None
+    for n in numbers:
+        c = centres(anchors, n)
+        angle, _ = angles(anchors, c)
+        of = angle.argmin(axis=1)
+        widest, least = np.zeros(len(c)), np.full(len(c), np.inf)
+        np.maximum.at(widest, of, angle[np.arange(len(of)), of])
+        np.minimum.at(least, of, need)
+        sent = float((bounds(candidates, c, widest) >= least).sum())
+        if kept is None or sent < kept[0]:
+            kept = (sent, c)
+    return kept[1]
+
+
 def _by_cluster(values: list, kind: str) -> Column:
     """``values[cluster]``."""
     return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("cluster") + 1)
@@ -146,9 +166,9 @@ class Walk:
         self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         """Window, score and id, in order."""
 
-    def step(self, bound: np.ndarray, ids: np.ndarray, labels: np.ndarray, vec: pa.Array) -> bool:
-        """Scores a block of the list; False once no member can find anything behind."""
-        reach = self.norm[self.of] * bound[0]
+    def step(self, bound: float, ids: np.ndarray, labels: np.ndarray, vec: bytes) -> bool:
+        """Scores a block of the list; False once no member can find anything in it or behind."""
+        reach = self.norm[self.of] * bound
         active = np.flatnonzero(reach + SLACK >= self.need)
         if not len(active):
             return False
@@ -184,6 +204,7 @@ def walked(members: DataFrame, candidates: DataFrame, pieces: int, groups: int,
     """``a, q, score, id``: of every window the best candidates of each piece of the lists."""
     still = members.select(
         "cluster", "chunk", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("piece"), F.lit(0).alias("side"), F.lit(0.0).alias("bound"), "id", "label", "vec", "a", "norm", "windows",
+        F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("labels"),
     )
     # candidates in order of their bounds, members before them
     ordered = still.unionByName(candidates).repartition(min(groups, TASKS), "cluster", "chunk", "piece").sortWithinPartitions("cluster", "chunk", "piece", "side", F.desc("bound"))
@@ -193,10 +214,10 @@ def walked(members: DataFrame, candidates: DataFrame, pieces: int, groups: int,
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = np.stack([batch.column(c).to_numpy() for c in ("cluster", "chunk", "piece", "side")])
-            cut = np.flatnonzero(np.append(True, (ids[:, 1:] != ids[:, :-1]).any(axis=0)))
+            place = np.stack([batch.column(c).to_numpy() for c in ("cluster", "chunk", "piece", "side")])
+            cut = np.flatnonzero(np.append(True, (place[:, 1:] != place[:, :-1]).any(axis=0)))
             for lo, hi in zip(cut, np.append(cut[1:], batch.num_rows), strict=True):
-                group, side, part = tuple(ids[:3, lo]), ids[3, lo], batch.slice(lo, hi - lo)
+                group, side, part = tuple(place[:3, lo]), place[3, lo], batch.slice(lo, hi - lo)
                 if group != at:
                     if walk is not None:
                         yield walk.result()
@@ -206,9 +227,9 @@ def walked(members: DataFrame, candidates: DataFrame, pieces: int, groups: int,
                     continue
                 if walk is None and held:
                     walk, held, open_ = Walk(pa.Table.from_batches(held), shape, k, same), [], True
-                for i in range(0, part.num_rows if open_ else 0, BLOCK):
-                    p = part.slice(i, BLOCK)
-                    open_ = walk.step(*(p.column(c).to_numpy() for c in ("bound", "id", "label")), p.column("vec"))
+                for i in range(part.num_rows if open_ else 0):
+                    bound, ids, labels, vec = (part.column(c)[i].as_py() for c in ("bound", "ids", "labels", "vec"))
+                    open_ = walk.step(bound, np.frombuffer(ids, np.int64), np.frombuffer(labels, np.int64), vec)
                     if not open_:
                         break
         if walk is not None:
@@ -224,7 +245,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def hard_negatives(
-    rows: DataFrame, anchors: Column, key: str = "vec_id", vector: str = "vector", label: str = "label", k: int = 5, low: int = 80, high: int = 100, clusters: int = CLUSTERS
+    rows: DataFrame, anchors: Column, key: str = "vec_id", vector: str = "vector", label: str = "label", k: int = 5, low: int = 80, high: int = 100, clusters: tuple[int, ...] = CLUSTERS
 ) -> DataFrame:
     """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score`` for the rows that meet ``anchors`` (a condition on ``rows``).
 
@@ -250,7 +271,8 @@ def hard_negatives(
     sample = sampled(own)
     if not len(sample):
         return _named(packed.sparkSession.createDataFrame([], "a bigint, p bigint, rank int, id bigint, ps bigint, score bigint"))
-    c = centres(sample, clusters)
+    candidates = sampled(packed)
+    c = grouped(sample, candidates, clusters)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -267,7 +289,9 @@ def hard_negatives(
     chunks = [-(-sizes[i].n // CHUNK) if i in sizes else 0 for i in range(len(c))]
     members = members.withColumn("chunk", F.pmod(F.xxhash64("a", F.lit(3)), _by_cluster(chunks, "long")).cast("int"))
 
-    pieces = max(1, -(-n // PIECE))
+    # as many tasks as the session wants, if there is enough to do
+    wanted = min(int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // LEAST))
+    pieces = max(1, -(-n // PIECE), -(-wanted // sum(chunks)))
     groups = max(1, sum(chunks) * pieces)
     copies = np.array(chunks)
 
@@ -275,21 +299,29 @@ def hard_negatives(
         """The candidates of each cluster's list whose bound is in its range, once for each chunk of members."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo in range(0, batch.num_rows, BLOCK):
-                    b = batch.slice(lo, BLOCK)
-                    bound = bounds(shape.matrix(b.column("vec")), c, widest)
-                    cluster, at = np.nonzero(((bound >= least) & (bound < below)).T)
-                    times = copies[cluster]
-                    chunk = np.concatenate([np.arange(t) for t in times]) if len(times) else np.zeros(0)
-                    cluster, at = np.repeat(cluster, times), np.repeat(at, times)
-                    some = b.select(["id", "label", "vec"]).take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([pa.array(cluster.astype(np.int32)), pa.array(chunk.astype(np.int32)), pa.array(bound[at, cluster]), *some.columns], ["cluster", "chunk", "bound", "id", "label", "vec"])
-
-        out = packed.select("id", "label", "vec").mapInArrow(run, "cluster int, chunk int, bound double, id bigint, label bigint, vec binary")
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                vec = shape.matrix(b.column("vec"))
+                bound = bounds(vec, c, widest)
+                ids, labels = b.column("id").to_numpy(), b.column("label").to_numpy()
+                vec = vec.astype(shape.packed)
+                for i in np.flatnonzero(copies):
+                    at = np.flatnonzero((bound[:, i] >= least[i]) & (bound[:, i] < below[i]))
+                    at = at[np.argsort(-bound[at, i], kind="stable")]
+                    for part in np.split(at, range(BLOCK, len(at), BLOCK)):
+                        if len(part):
+                            packed_ids = ids[part].tobytes()
+                            row = (i, zlib.crc32(packed_ids) % pieces, bound[part[0], i], packed_ids, labels[part].tobytes(), vec[part].tobytes())
+                            n = int(copies[i])
+                            yield pa.RecordBatch.from_arrays([pa.array([i] * n, pa.int32()), pa.array(range(n), pa.int32()), *(pa.array([x] * n, t) for x, t in zip(row[1:], types, strict=True))], names)
+
+        names = ["cluster", "chunk", "piece", "bound", "ids", "labels", "vec"]
+        types = [pa.int32(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
+        out = packed.select("id", "label", "vec").mapInArrow(run, "cluster int, chunk int, piece int, bound double, ids binary, labels binary, vec binary")
         return out.select(
-            "cluster", "chunk", F.pmod(F.xxhash64("id", "vec"), F.lit(pieces)).cast("int").alias("piece"), F.lit(1).alias("side"), "bound", "id", "label", "vec",
-            F.lit(None).cast("long").alias("a"), F.lit(0.0).alias("norm"), F.lit(None).cast("array<struct<q:int,lo:bigint,hi:bigint>>").alias("windows"),
+            "cluster", "chunk", "piece", F.lit(1).alias("side"), "bound", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("label"), "vec",
+            F.lit(None).cast("long").alias("a"), F.lit(0.0).alias("norm"), F.lit(None).cast("array<struct<q:int,lo:bigint,hi:bigint>>").alias("windows"), "ids", "labels",
         )
 
     def needed(windows: DataFrame) -> np.ndarray:
@@ -303,7 +335,7 @@ def hard_negatives(
         return F.struct(q.cast("int").alias("q"), lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
 
     # positives: the heads of the lists, then what can still beat the k-th best
-    heads = np.quantile(bounds(sampled(packed), c, widest), 1 - HEAD, axis=0)
+    heads = np.quantile(bounds(candidates, c, widest), 1 - HEAD, axis=0)
     every = np.full(len(c), np.inf)
     one = members.withColumn("windows", F.array(window(F.lit(0), F.lit(LOW), F.lit(HIGH))))
     head = stored(_best(walked(one, listed(heads, every), pieces, groups, shape, k, True), k), "heads")

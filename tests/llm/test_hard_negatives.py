@@ -49,11 +49,12 @@ def test_equals_brute_force(spark, spread):
 def test_many_pieces_and_chunks(spark, monkeypatch):
     monkeypatch.setattr(hn, "PIECE", 97)
     monkeypatch.setattr(hn, "CHUNK", 4)
+    monkeypatch.setattr(hn, "BLOCK", 16)
     monkeypatch.setattr(hn, "SAMPLE", 16)
     rows = vectors(400, 8)
     # a third of all rows are one vector, anchors among them
     rows += [(1000 + i, [30.0, -20.0, 5.0, 0.0, 1.0, 2.0, 3.0, 4.0], i % 3) for i in range(200)]
-    assert ours(spark, rows, clusters=3) == brute(rows)
+    assert ours(spark, rows, clusters=(3,)) == brute(rows)
 
 
 def test_walks_end_before_their_lists():
@@ -74,7 +75,7 @@ def test_walks_end_before_their_lists():
     walk, steps = hn.Walk(members, shape, 5, True), 0
     for lo in range(0, 5000, 100):
         at = order[lo : lo + 100]
-        if not walk.step(bound[at], at, np.ones(100, np.int64), pa.array([r.astype("<i2").tobytes() for r in v[at]], pa.binary())):
+        if not walk.step(bound[at[0]], at, np.ones(100, np.int64), v[at].astype("<i2").tobytes()):
             break
         steps += 1
     assert steps < 10
@@ -83,6 +84,14 @@ def test_walks_end_before_their_lists():
     assert got["score"] == [-int(s) for w in want for s in w]
 
 
+def test_narrow_clusters_get_more_lists():
+    rng = np.random.default_rng(3)
+    middle = rng.normal(0, 100, (16, 20))
+    near = middle[rng.integers(0, 16, 2000)] + rng.normal(0, 5, (2000, 20))
+    spread = rng.normal(0, 100, (2000, 20))
+    assert len(hn.grouped(near[:200], near, (4, 16, 64))) >= 16 and len(hn.grouped(spread[:200], spread, (4, 16, 64))) == 4
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [float(i % 7), 3.0, -float(i % 5)], i % 3) for i in range(40)]
