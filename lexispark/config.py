@@ -21,8 +21,8 @@ class RunConfig:
     results_dir: str
     data_format: str = "csv"
     multi_line: bool = True
-    """CSV texts may hold line ends inside quotes, so a file is read by one task. Switch it off only for files
-    known to have none: they are split between tasks, and a text with a line end would be cut there."""
+    """CSV texts may hold line ends inside quotes. Large files are split between tasks either way; switched off, for files
+    known to have no such texts, a file is read once instead of twice."""
     label_type: str = "string"
     text_column: str = "text"
     label_column: str = "label"

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ranges import read_csv_ranges
+
 # The fold of every five keys that becomes the test part of a key split.
 SPLIT_MODULUS = 5
 
@@ -49,16 +51,18 @@ def read_corpus(
 ) -> DataFrame:
     """One split of a labelled corpus with a ``split`` column.
 
-    CSV is UTF-8 with a header and double-quoted fields. Fields may hold newlines unless
-    ``multi_line`` is off; off, large files can be split between tasks. Without a schema
+    CSV is UTF-8 with a header and double-quoted fields. Fields may hold newlines; large files
+    are split between tasks all the same (see ``ranges``), for a second pass over the file. With
+    ``multi_line`` off there is one pass, right only if no field holds a newline. Without a schema
     every CSV column is read as text, so no extra pass over the file is made to infer types.
     A row key named ``doc_id`` is added when the file has none.
     """
     try:
-        if fmt == "csv":
+        if fmt == "csv" and multi_line:
+            df = read_csv_ranges(spark, path, schema)
+        elif fmt == "csv":
             reader = (
                 spark.read.option("header", True)
-                .option("multiLine", multi_line)
                 .option("quote", '"')
                 .option("escape", '"')
                 .option("encoding", "UTF-8")
@@ -75,8 +79,9 @@ def read_corpus(
         raise RuntimeError(f"cannot read {split} data at {path}: {error}") from error
     require_columns(df, (text_column, label_column), split)
     if "doc_id" not in df.columns:
-        df = df.withColumn("doc_id", row_key(df, split))
-    return df.withColumn("split", F.lit(split))
+        key = F.concat_ws(":", F.lit(split), "_row") if "_row" in df.columns else row_key(df, split)
+        df = df.withColumn("doc_id", key)
+    return df.drop("_row").withColumn("split", F.lit(split))
 
 
 def row_key(df: DataFrame, split: str) -> Column:
@@ -175,6 +180,8 @@ def save_processed(train: DataFrame, test: DataFrame, folder: str, fmt: str = "c
         df = df.drop(*[f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)])
         if fmt == "csv":
             writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+            # blanks at a text's ends are part of it
+            writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             writer.option("emptyValue", EMPTY_MARK).option("nullValue", "").csv(f"{folder}/{name}")
         else:
             df.write.mode("overwrite").format(fmt).save(f"{folder}/{name}")
@@ -186,9 +193,7 @@ def load_processed(spark: SparkSession, folder: str, schema: T.StructType | None
     for split in ("train", "test"):
         path = f"{folder}/processed_{split}"
         if fmt == "csv":
-            reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            reader = reader.option("emptyValue", "").option("nullValue", None)
-            df = (reader.schema(schema) if schema else reader).csv(path)
+            df = read_csv_ranges(spark, path, schema, keep_empty=True).drop("_row")
         else:
             df = spark.read.format(fmt).load(path)
         out.append(df.withColumn("split", F.lit(split)))

@@ -61,3 +61,11 @@ def test_random_split(spark):
     split = corpus.random_split(spark.range(5000).withColumnRenamed("id", "doc_id"))
     share = split.where(F.col("split") == "test").count() / 5000
     assert 0.17 < share < 0.23
+
+
+def test_blanks_and_line_ends_of_texts_survive_csv(spark, tmp_path):
+    texts = ["  both ends  ", "\ttab", "line\nend\n", 'a "quoted" word', "", None, ",", "crlf\r\nhere"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, label string")
+    corpus.save_processed(docs, docs.limit(0), str(tmp_path))
+    train, test = corpus.load_processed(spark, str(tmp_path), docs.schema)
+    assert [r.text for r in train.orderBy("doc_id").collect()] == texts and test.count() == 0

@@ -174,6 +174,7 @@ def loading() -> dict[str, str]:
         "dataset_label_crosstab": f"{c} SELECT dataset, {pivot} FROM corpus GROUP BY dataset",
         "missing_text_counts": f"{c} SELECT split, count(*) FILTER (text IS NULL) AS n_missing FROM corpus GROUP BY split",
         "texts_and_labels": f"{with_(corpus(*RATED))} SELECT doc_id, text, label FROM corpus",
+        "csv_corpus_roundtrip": f"{c} SELECT doc_id, text, label, dataset, split, array_to_string({tokens_of('text')}, ' ') AS processed_text FROM corpus",
     }
 
 

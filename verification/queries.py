@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 from pyspark.ml.functions import vector_to_array
@@ -20,7 +21,7 @@ from lexispark.operators.labels import balanced_weights, class_sizes, class_tabl
 from lexispark.operators.naive_bayes import NaiveBayes
 from lexispark.operators.projection import project
 from lexispark.operators.tokens import drop_listed, lemmatize
-from lexispark.session import cached
+from lexispark.session import cached, ensure_checkpoint_dir
 from lexispark.sources import corpus as io
 
 @lru_cache(maxsize=1)
@@ -138,6 +139,24 @@ def texts_and_labels(spark, folder):
     return io.texts_and_labels(rated(spark, folder))
 
 
+def scratch(spark, name):
+    """A fresh folder in the shared one."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query
+def csv_corpus_roundtrip(spark, folder):
+    """Processed splits written as CSV, read in ranges and checked for their columns."""
+    docs = documents(spark, folder).withColumn("processed_text", tx.process_text(F.col("text"), stop_list()))
+    out = scratch(spark, "corpus")
+    io.save_processed(part(docs, "train"), part(docs, "test"), out)
+    back = io.load_processed(spark, out, docs.drop("split").schema)
+    for df, split in zip(back, ("train", "test"), strict=True):
+        io.require_columns(df, ("text", "label", "processed_text"), split)
+    return io.union_splits(*back)
+
+
 # Text ----------------------------------------------------------------------------------------------
 
 
