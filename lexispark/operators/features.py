@@ -128,7 +128,7 @@ class FeatureExtractor:
 
     def counts(self, docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Counts of vocabulary terms; other terms are dropped before anything is shuffled."""
-        return lookup_join(self.term_table(docs, keep), self._fitted(), "term", salt_by=self.key, max_rows=self.size)
+        return lookup_join(self.term_table(docs, keep), self._fitted(), "term", salt_by=self.key, max_rows=self.size, rank_by="cf")
 
     def transform(self, docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Long feature table ``(key, *keep, idx, term, tf, weight)``.

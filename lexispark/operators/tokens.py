@@ -1,42 +1,33 @@
-"""Token steps that need another table: large stop lists and lemma dictionaries."""
+"""Token steps that need another table: large stop lists and lemma dictionaries.
+
+Both number the tokens once and change ids (see ``dictionary``). Whoever takes several such steps keeps the encoded documents in between.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import lookup_join
-
-
-def _positions(docs: DataFrame, key: str, tokens: str) -> DataFrame:
-    return docs.select(key, F.posexplode(tokens).alias("pos", "token"))
-
-
-def _regather(docs: DataFrame, rows: DataFrame, word: Column, key: str, tokens: str) -> DataFrame:
-    """Put the words of a document back in order; documents left without words get an empty array."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", word.alias("w"))))
-    lists = rows.groupBy(key).agg(F.transform(ordered, lambda x: x["w"]).alias("_words"))
-    kept = [c for c in docs.columns if c != tokens]
-    empty = F.array().cast("array<string>")
-    return docs.select(*kept).join(lists, key, "left").select(*kept, F.coalesce("_words", empty).alias(tokens))
+from .dictionary import TokenDictionary
 
 
-def drop_listed(docs: DataFrame, words: DataFrame, key: str = "doc_id", tokens: str = "tokens", **bounds) -> DataFrame:
-    """Drop tokens that occur in the table ``words(word)``, ignoring the tokens' case.
+def drop_listed(docs: DataFrame, words: DataFrame, key: str = "doc_id", tokens: str = "tokens", dictionary: TokenDictionary | None = None) -> DataFrame:
+    """Drop tokens that occur in the table ``words(word)``, ignoring the tokens' case; ``dictionary`` must have all tokens.
 
     For lists too large for an expression; short lists belong in ``drop_stopwords``.
     """
-    rows = _positions(docs, key, tokens).withColumn("word", F.lower("token"))
-    kept = lookup_join(rows, words.select("word").distinct(), "word", "left_anti", salt_by=key, **bounds)
-    return _regather(docs, kept, F.col("token"), key, tokens)
+    known = dictionary or TokenDictionary.fit(docs, tokens)
+    return known.decode(known.changed(known.encode(docs, key, tokens), known.without(words), key, tokens), key, tokens)
 
 
-def lemmatize(docs: DataFrame, lemmas: DataFrame, key: str = "doc_id", tokens: str = "tokens", **bounds) -> DataFrame:
+def lemmatize(docs: DataFrame, lemmas: DataFrame, key: str = "doc_id", tokens: str = "tokens", dictionary: TokenDictionary | None = None) -> DataFrame:
     """Replace tokens by their lemma from ``lemmas(token, lemma)``; unlisted tokens stay as they are.
 
     A token with several lemmas takes the one with the smallest ``rank`` if the table has that column, else the first by name.
+    ``dictionary`` must have all tokens.
     """
     order = [F.col(c) for c in ("rank", "lemma") if c in lemmas.columns]
     first = lemmas.where(F.col("lemma").isNotNull()).groupBy("token").agg(F.min_by("lemma", F.struct(*order)).alias("lemma"))
-    rows = lookup_join(_positions(docs, key, tokens), first, "token", "left", salt_by=key, **bounds)
-    return _regather(docs, rows, F.coalesce("lemma", "token"), key, tokens)
+    known = dictionary or TokenDictionary.fit(docs, tokens)
+    wider, changes = known.to_lemmas(first)
+    return wider.decode(known.changed(known.encode(docs, key, tokens), changes, key, tokens), key, tokens)

@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lexispark.operators import dictionary
+from lexispark.operators.dictionary import TokenDictionary
 from lexispark.operators.lookup import lookup_join
 from lexispark.operators.ordered import row_numbers, running_sums
 from lexispark.operators.tokens import drop_listed, lemmatize
@@ -45,6 +47,8 @@ def test_salted_lookup_equals_broadcast(spark, how):
     assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.select(columns).collect()), key=str)
     plan = large._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+    ranked = lookup_join(rows, lookup.withColumn("n", F.when(F.col("token") == "the", 2000).otherwise(F.col("idx"))), "token", how, limit=3, rank_by="n")
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, ranked.select(columns).collect()), key=str)
     # wide rows count with all their numbers
     wide = lookup_join(rows, lookup, ["token"], how, max_rows=41, width=10_000_000, salts=5)
     assert "BroadcastHashJoin" not in wide._jdf.queryExecution().executedPlan().toString()
@@ -54,8 +58,39 @@ def test_token_tables(spark):
     docs = spark.createDataFrame([(1, ["a", "B", "c", "a"], "x"), (2, [], "y"), (3, ["b"], "z")], "doc_id int, tokens array<string>, k string")
     words = spark.createDataFrame([("b",), ("b",), ("q",)], "word string")
     lemmas = spark.createDataFrame([("a", "A1"), ("zz", "z")], "token string, lemma string")
-    for bounds in ({}, {"limit": 0, "salts": 3}):
-        got = {r.doc_id: (r.k, r.tokens) for r in drop_listed(docs, words, **bounds).collect()}
+    for known in (None, TokenDictionary.fit(docs, head=2), TokenDictionary.fit(docs, head=0)):
+        got = {r.doc_id: (r.k, r.tokens) for r in drop_listed(docs, words, dictionary=known).collect()}
         assert got == {1: ("x", ["a", "c", "a"]), 2: ("y", []), 3: ("z", [])}
-        got = {r.doc_id: r.tokens for r in lemmatize(docs, lemmas, **bounds).collect()}
+        got = {r.doc_id: r.tokens for r in lemmatize(docs, lemmas, dictionary=known).collect()}
         assert got == {1: ["A1", "B", "c", "A1"], 2: [], 3: ["b"]}
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+@pytest.mark.parametrize("head", [0, 5, 1000])
+def test_dictionary_equals_plain_lookups(spark, monkeypatch, head, limit):
+    monkeypatch.setattr(dictionary, "MAX_BROADCAST_ROWS", limit)
+    rng = random.Random(4)
+    # one word is a third of all tokens
+    lists = [["the" if rng.random() < 0.33 else f"W{rng.randint(0, 120)}" for _ in range(rng.randint(0, 40))] for _ in range(80)]
+    rows = [(i, t, i % 3) for i, t in enumerate(lists)] + [(90, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>, label int")
+    known = TokenDictionary.fit(docs, head=head)
+    table = {r.term: (r.id, r.n) for r in known.table.collect()}
+    words = {t for x in lists for t in x}
+    assert sorted(i for i, _ in table.values()) == list(range(len(words))) and set(table) == words
+    counts = {w: sum(x.count(w) for x in lists) for w in words}
+    assert {w: n for w, (_, n) in table.items()} == counts
+    first = sorted(words, key=lambda w: (-counts[w], w))[:head]
+    assert [table[w][0] for w in first] == list(range(len(first)))
+    coded = known.encode(docs)
+    assert coded.columns == ["doc_id", "label", "tokens"]
+    assert {r.doc_id: r.tokens for r in coded.collect()} == {i: [table[t][0] for t in x or []] for i, x, _ in rows}
+    assert {r.doc_id: r.tokens for r in known.decode(coded).collect()} == {i: x or [] for i, x, _ in rows}
+    listed = spark.createDataFrame([("the",), ("w7",), ("w8",), (None,)], "word string")
+    kept = {r.doc_id: r.tokens for r in drop_listed(docs, listed, dictionary=known).collect()}
+    assert kept == {i: [t for t in x or [] if t.lower() not in ("the", "w7", "w8")] for i, x, _ in rows}
+    lemmas = {"the": "W1", "W2": "new", "W3": "newer", "W4": "the"}
+    got = {r.doc_id: r.tokens for r in lemmatize(docs, spark.createDataFrame(list(lemmas.items()), "token string, lemma string"), dictionary=known).collect()}
+    assert got == {i: [lemmas.get(t, t) for t in x or []] for i, x, _ in rows}
+    other = spark.createDataFrame([(1, ["the", "never", "W5"])], "doc_id bigint, tokens array<string>")
+    assert known.encode(other).first().tokens == [table["the"][0], dictionary.UNKNOWN, table["W5"][0]]
