@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.arrays import ngrams, term_counts
 from ..functions.text import feature_tokens
-from ..session import materialise
+from ..session import ensure_checkpoint_dir, materialise
 from .lookup import lookup_join
 from .ordered import row_numbers
 
@@ -159,10 +161,18 @@ class FeatureExtractor:
         return docs.select(self.key, *keep).join(entries, self.key, "left")
 
     def vectors(self, docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Sparse ML vectors in column ``features`` for every document."""
-        return self.transform_arrays(docs, keep).select(
-            self.key, *keep, sparse_vector(self.size)(F.col("entries.idx"), F.col("entries.weight")).alias("features")
-        )
+        """Sparse ML vectors in column ``features`` for every document, written to the checkpoint folder.
+
+        A vector is stored as a struct, so a column of such structs that is written is read back as vectors: no Python is involved.
+        """
+        entry = lambda name, kind: F.coalesce(F.col(f"entries.{name}"), F.array().cast(f"array<{kind}>")).alias("indices" if name == "idx" else "values")
+        struct = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(self.size).alias("size"), entry("idx", "int"), entry("weight", "double"))
+        rows = self.transform_arrays(docs, keep).select(self.key, *keep, struct.alias("features"))
+        ensure_checkpoint_dir(docs.sparkSession)
+        path = f"{docs.sparkSession.sparkContext.getCheckpointDir().rstrip('/')}/vectors-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        schema = T.StructType([f for f in rows.schema if f.name != "features"] + [T.StructField("features", VectorUDT())])
+        return docs.sparkSession.read.schema(schema).parquet(path)
 
     # Persistence ----------------------------------------------------------------------------------
 
@@ -183,15 +193,6 @@ class FeatureExtractor:
         return extractor._use(spark.read.parquet(f"{path}/vocabulary"))
 
 
-def sparse_vector(size: int):
-    """Arrow UDF from index and weight arrays to an ML vector: Spark has no built-in for it."""
-
-    def build(indices, values):
-        return SparseVector(size, [], []) if indices is None else SparseVector(size, indices, values)
-
-    return F.udf(build, VectorUDT(), useArrow=True)
-
-
 def extract_features(
     train: DataFrame,
     test: DataFrame,

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..functions.arrays import argmax, let
-from ..session import materialise
-from .labels import ClassSize, balanced_weights, class_sizes, class_table, label_at
+from ..session import cached, materialise
+from . import lockstep as ls
+from .labels import ClassSize, balanced_weights, class_sizes, class_table, label_at, position_of
 from .lookup import MAX_BROADCAST_ROWS
 from .metrics import summary
 from .naive_bayes import weighted_sums
@@ -370,6 +371,49 @@ def _f1_of_cuts(model_of: Callable, points: list[dict], train: DataFrame, test:
     return [found.get(i) for i in range(len(points))]
 
 
+def lockstep_scores(model_of, vectors: DataFrame, grid: list[dict], k: int) -> list[dict]:
+    """``point, fold, f1, iterations, residual`` of a linear model for all points and folds, fitted side by side.
+
+    ``residual`` is the largest entry of the penalised gradient at the end. A fold whose other rows have one class only has no score.
+    """
+    classes = [c.label for c in class_sizes(vectors, key=vectors.columns[0])]
+    known = vectors.where(F.col("label").isNotNull())
+    weight = None
+    if any(p.get("class_weight") for p in grid):
+        if len({p.get("class_weight") for p in grid}) > 1:
+            raise ValueError("one search has one class_weight")
+        known = with_class_weights(known)
+        weight = F.col("class_weight")
+    size = ls.width_of(known)
+    rows = cached(ls.rows_of(known, position_of(F.col("label"), classes), weight, F.col("fold")))
+    try:
+        problem = ls.Problem(rows, size, len(classes))
+        folds = [f for f in range(k) if problem.classes_seen(f) > 1]
+        shared = model_of.paths(grid, folds, problem)
+        paths = [ls.Path(*key, tuple(sorted(stops, reverse=True))) for key, stops in shared.items()]
+        found = {(p[:-1], stop): s for p, stops in zip(paths, ls.solve(problem, paths), strict=True) for stop, s in zip(p.stops, stops, strict=True)}
+        out, machines, place = [], [], {}
+        for i, params in enumerate(grid):
+            for f in range(k):
+                if f not in folds:
+                    out.append({"point": i, "fold": f, "f1": None, "iterations": None, "residual": None, "machine": None})
+                    continue
+                stops = [found[tuple(key), stop] for key, stop in model_of.fit_of(params, f, problem)]
+                # points that end at the same place are scored once
+                same = (f, *(id(s.weights) for s in stops))
+                if same not in place:
+                    place[same] = len(machines)
+                    machines.append((f, np.concatenate([s.weights for s in stops], axis=1)))
+                out.append({"point": i, "fold": f, "iterations": max(s.iterations for s in stops), "residual": max(s.residual for s in stops), "machine": place[same]})
+        cells = problem.confusion(machines) if machines else []
+    finally:
+        rows.unpersist()
+    for row in out:
+        at = row.pop("machine")
+        row["f1"] = None if at is None else ls.weighted_f1(cells[at])
+    return out
+
+
 def grid_search(
     model_of: Callable,
     vectors: DataFrame,
@@ -382,10 +426,13 @@ def grid_search(
 
     ``vectors`` holds ``fold``, ``label`` and ``features`` and should be cached. Fits run as
     concurrent Spark jobs from a bounded thread pool; only one score per point and fold reaches the
-    driver. Points that a classifier can read off one fit (``same_fit``) share it.
+    driver. Points that a classifier can read off one fit (``same_fit``) share it; linear models (``paths``) are fitted side by side.
     """
     start = time.time()
     tasks = [(i, f) for i in range(len(grid)) for f in range(k)]
+    if hasattr(model_of, "paths"):
+        scores = [r["f1"] for r in lockstep_scores(model_of, vectors, grid, k)]
+        return _searched(model_of, vectors, grid, tasks, scores, k, validation, start)
     fits: dict = {}
     for i, params in enumerate(grid):
         fits.setdefault(model_of.same_fit(params) if hasattr(model_of, "same_fit") else i, []).append(i)
@@ -402,7 +449,11 @@ def grid_search(
     with ThreadPool(max(1, min(parallelism, len(shared)))) as pool:
         found = pool.map(run, shared, chunksize=1)
     score_of = {(i, f): x for (points, f), part in zip(shared, found) for i, x in zip(points, part)}
-    scores = [score_of[task] for task in tasks]
+    return _searched(model_of, vectors, grid, tasks, [score_of[task] for task in tasks], k, validation, start)
+
+
+def _searched(model_of: Callable, vectors: DataFrame, grid: list[dict], tasks: list, scores: list, k: int, validation: DataFrame | None, start: float) -> tuple[object, dict]:
+    """The best point fitted on all rows, and the report of a search."""
     spark = vectors.sparkSession
     rows = [
         ({name: str(value) for name, value in grid[i].items()}, i, f, score) for (i, f), score in zip(tasks, scores)

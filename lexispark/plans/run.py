@@ -44,7 +44,7 @@ class Features:
         return self.extractor.transform(getattr(self, split), list(keep))
 
     def vectors(self, split: str) -> DataFrame:
-        """ML vectors of a split, cached at first use."""
+        """ML vectors of a split, cached at first use (they are read from a written table)."""
         if split not in self._vectors:
             self._vectors[split] = cached(self.extractor.vectors(getattr(self, split), ["label"]))
         return self._vectors[split]
@@ -169,12 +169,8 @@ def _fit(spark: SparkSession, cfg: RunConfig, name: str, features: Features):
         return kind(**params).fit(vectors)
     folds = sel.stratified_folds(features.train.select("doc_id", "label"), cfg.cv, sizes=features.sizes)
     folded = cached(vectors.join(folds.select("doc_id", "fold"), "doc_id"))
-    grid = sel.parameter_grid(cfg.search_grids.get(name, SEARCH_GRIDS[name]))
-    # margins decide a label, so the search needs no calibrated machines
-    searched = (lambda **p: kind(probability=False, **p)) if name == "svm" else kind
-    model, report = sel.grid_search(searched, folded, grid, cfg.cv, cfg.parallelism)
-    if name == "svm":
-        model = kind(**report["best_params"]).fit(vectors)
+    grid = sel.parameter_grid(cfg.search_grids.get(name, SEARCH_GRIDS[name]), kind.valid)
+    model, report = sel.grid_search(kind, folded, grid, cfg.cv, cfg.parallelism)
     table = report["cv_results"].select("params", "fold", "f1", F.lit(name).alias("model"))
     artifacts.save_search(table, f"{cfg.results_dir}/metrics")
     folded.unpersist()

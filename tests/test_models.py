@@ -99,7 +99,8 @@ def test_classifier_invariants(spark, corpus, tmp_path, name, params):
 def test_classifier_errors(spark, tmp_path):
     for bad in (
         lambda: cl.LinearSVM(variant="kernel"),
-        lambda: cl.LinearSVM(loss="squared_hinge"),
+        lambda: cl.LinearSVM(loss="logistic"),
+        lambda: cl.LinearSVM(loss="hinge", penalty="l1"),
         lambda: cl.DecisionTree(criterion="log"),
         lambda: cl.RandomForest(max_depth=31),
         lambda: cl.MaxEnt(solver="saga"),

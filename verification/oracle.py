@@ -239,6 +239,7 @@ HAVING count(*) >= 0.002 * (SELECT n FROM n) AND count(*) <= 0.5 * (SELECT n FRO
 SELECT doc_id, idx, {number('weight', 'weight')} FROM feats WHERE split = 'test'""",
         "ml_vectors": f"""{with_(vocabulary(*RATED))} SELECT d.doc_id, d.label, count(v.idx)::INTEGER AS n_terms FROM docs d
 LEFT JOIN terms t USING (doc_id) LEFT JOIN vocab v ON v.term = t.term WHERE d.split = 'train' GROUP BY ALL""",
+        "ml_vector_entries": f"{with_(weighted(*RATED))} SELECT doc_id, label, idx, {number('weight', 'weight')} FROM feats",
         "feature_shapes": f"{v} SELECT split, count(*) AS n_docs, (SELECT count(*) FROM vocab) AS n_features FROM docs GROUP BY split",
     }
 

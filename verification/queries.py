@@ -638,10 +638,10 @@ def feature_correlation_lower(spark, folder):
 
 
 def vectors(spark, folder):
-    """Training and test vectors of the rated documents, cached for the fits."""
+    """Training and test vectors of the rated documents, as written tables."""
     docs = clean(rated(spark, folder))
     extractor = fitted(docs)
-    return extractor, *(cached(extractor.vectors(part(docs, s), ["label"])) for s in ("train", "test"))
+    return extractor, *(extractor.vectors(part(docs, s), ["label"]) for s in ("train", "test"))
 
 
 def scored_by(spark, folder, name):
@@ -657,6 +657,15 @@ def ml_vectors(spark, folder):
     return train.select("doc_id", "label", F.size(F.filter(entries, lambda x: x != 0)).alias("n_terms"))
 
 
+@query
+def ml_vector_entries(spark, folder):
+    """The vectors that the models are given, entry by entry."""
+    _, train, test = vectors(spark, folder)
+    v = F.unwrap_udt("features")
+    entry = F.explode(F.arrays_zip(v["indices"].alias("idx"), v["values"].alias("weight"))).alias("e")
+    return train.unionByName(test).select("doc_id", "label", entry).select("doc_id", "label", "e.idx", "e.weight")
+
+
 @query
 def decision_tree(spark, folder):
     return scored_by(spark, folder, "decision_tree")
@@ -714,6 +723,27 @@ def grid_search_ml(spark, folder):
     )
 
 
+def linear_search(spark, folder, name):
+    """All points of a linear model's grid on all folds, with the iterations and the optimality residual of each."""
+    _, train, _ = vectors(spark, folder)
+    folds = sel.stratified_folds(train.select("doc_id", "label"))
+    kind = CLASSIFIERS[name]
+    grid = sel.parameter_grid(SEARCH_GRIDS[name], kind.valid)
+    scores = sel.lockstep_scores(kind, train.join(folds.select("doc_id", "fold"), "doc_id"), grid, 5)
+    rows = [(",".join(f"{n}={v}" for n, v in sorted(grid[r["point"]].items())), r["fold"], r["f1"], r["iterations"], r["residual"]) for r in scores]
+    return spark.createDataFrame(rows, "params string, fold int, f1 double, iterations int, residual double")
+
+
+@query
+def grid_search_maxent(spark, folder):
+    return linear_search(spark, folder, "maxent")
+
+
+@query
+def grid_search_svm(spark, folder):
+    return linear_search(spark, folder, "svm")
+
+
 def projected(spark, folder, method):
     docs = clean(documents(spark, folder)).select("doc_id", "label", "tokens")
     return project(FeatureExtractor().fit_transform(docs), docs, method=method)
