@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` as a Parquet table in the checkpoint folder.
+
+    Unlike a checkpoint it carries no constraints of the plan it came from, which grow from step to step of a loop.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cached(df: DataFrame) -> DataFrame:
     """Keep ``df`` for an iterative fit; lost blocks are recomputed from its lineage."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -14,7 +14,7 @@ CHECKED = [
     "dataset_label_crosstab", "csv_corpus_roundtrip", "normalize_pages", "custom_stopword_antijoin", "lemma_lookup", "processed_text",
     "full_vocabulary", "tfidf_weights", "unbounded_tfidf", "nb_complement_predict", "nb_grid_search", "nb_learning_curve",
     "stratified_folds", "stratified_sample", "class_report", "roc_points", "ovr_auc_per_class", "model_comparison",
-    "doc_length_histogram", "doc_length_density", "word_frequency_by_class", "feature_correlation", "ml_vectors", "ml_vector_entries",
+    "doc_length_histogram", "doc_length_density", "word_frequency_by_class", "feature_correlation", "ml_vectors", "ml_vector_entries", "exact_tree_nodes", "exact_tree_predict", "exact_tree_importances",
 ]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import stop_list
+from .queries import EXACT_DEPTH, stop_list
 
 # the languages of the given tables; the queries take theirs from the data
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -244,6 +244,57 @@ LEFT JOIN terms t USING (doc_id) LEFT JOIN vocab v ON v.term = t.term WHERE d.sp
     }
 
 
+def exact_tree() -> str:
+    """The tree of the rated documents, grown level by level from every value of every term."""
+
+    def entropy(a: str, b: str) -> str:
+        part = "CASE WHEN {x} > 0 THEN -({x}) / (({a}) + ({b}))::DOUBLE * log2(({x}) / (({a}) + ({b}))::DOUBLE) ELSE 0.0 END"
+        return "(" + " + ".join(part.format(x=f"({x})", a=a, b=b) for x in (a, b)) + ")"
+
+    parts = [weighted(*RATED), """
+w AS MATERIALIZED (SELECT doc_id, split, idx, round(weight, 9) AS weight FROM feats WHERE round(weight, 9) > 0),
+a0 AS MATERIALIZED (SELECT doc_id, label, 0::BIGINT AS node FROM docs WHERE split = 'train')"""]
+    for i in range(EXACT_DEPTH + 1):
+        parts.append(f"t{i} AS MATERIALIZED (SELECT node, count(*) FILTER (label = 0) AS t0, count(*) FILTER (label = 1) AS t1 FROM a{i} GROUP BY node)")
+        if i == EXACT_DEPTH:
+            break
+        parts.append(f"""
+o{i} AS MATERIALIZED (SELECT * FROM t{i} WHERE t0 + t1 >= 5 AND t0 > 0 AND t1 > 0),
+h{i} AS MATERIALIZED (SELECT node, idx, weight, count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1
+  FROM a{i} SEMI JOIN o{i} USING (node) JOIN w USING (doc_id) GROUP BY ALL),
+z{i} AS (SELECT * FROM h{i} UNION ALL SELECT node, idx, 0.0, any_value(t0) - sum(n0)::BIGINT, any_value(t1) - sum(n1)::BIGINT FROM h{i} JOIN o{i} USING (node) GROUP BY node, idx),
+c{i} AS (SELECT node, idx, weight, lead(weight) OVER v AS above, sum(n0) OVER v AS l0, sum(n1) OVER v AS l1 FROM z{i} WINDOW v AS (PARTITION BY node, idx ORDER BY weight)),
+g{i} AS (SELECT node, idx, (weight + above) / 2 AS threshold, round({entropy('t0', 't1')}
+    - (l0 + l1) / (t0 + t1)::DOUBLE * {entropy('l0', 'l1')} - (t0 + t1 - l0 - l1) / (t0 + t1)::DOUBLE * {entropy('t0 - l0', 't1 - l1')}, 10) AS gain
+  FROM c{i} JOIN o{i} USING (node) WHERE above IS NOT NULL AND l0 + l1 >= 1 AND t0 + t1 - l0 - l1 >= 1),
+b{i} AS MATERIALIZED (SELECT node, idx, threshold FROM g{i} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, idx, threshold) = 1),
+a{i + 1} AS MATERIALIZED (SELECT a.doc_id, a.label, 2 * a.node + CASE WHEN coalesce(w.weight, 0) <= b.threshold THEN 1 ELSE 2 END AS node
+  FROM a{i} a JOIN b{i} b USING (node) LEFT JOIN w ON w.doc_id = a.doc_id AND w.idx = b.idx)""")
+    nodes = " UNION ALL ".join(f"SELECT t.*, b.idx, b.threshold FROM t{i} t LEFT JOIN b{i} b USING (node)" for i in range(EXACT_DEPTH))
+    parts.append(f"nodes AS MATERIALIZED ({nodes} UNION ALL SELECT *, NULL, NULL FROM t{EXACT_DEPTH})")
+    parts.append(f"marked AS MATERIALIZED (SELECT *, t0 + t1 AS n, {entropy('t0', 't1')} AS impurity, (t1 > t0)::INTEGER AS prediction FROM nodes)")
+    return with_(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def exact_trees() -> dict[str, str]:
+    t = exact_tree()
+    return {
+        "exact_tree_nodes": f"""{t} SELECT node, CASE WHEN node > 0 THEN (node - 1) // 2 END AS parent,
+  CASE WHEN node > 0 THEN CASE node % 2 WHEN 1 THEN 'left' ELSE 'right' END END AS side, {number('threshold', 'threshold')},
+  {number('impurity', 'impurity')}, n, prediction, term FROM marked LEFT JOIN vocab USING (idx)""",
+        "exact_tree_predict": f"""{t},
+way AS (SELECT doc_id, 0::BIGINT AS node FROM docs WHERE split = 'test' UNION ALL
+  SELECT y.doc_id, 2 * y.node + CASE WHEN coalesce(w.weight, 0) <= m.threshold THEN 1 ELSE 2 END
+  FROM way y JOIN marked m ON m.node = y.node AND m.idx IS NOT NULL LEFT JOIN w ON w.doc_id = y.doc_id AND w.idx = m.idx)
+SELECT d.doc_id, d.label, m.prediction, {number('m.t1 / m.n::DOUBLE', 'probability')}
+FROM (SELECT doc_id, max(node) AS node FROM way GROUP BY doc_id) y JOIN marked m USING (node) JOIN docs d USING (doc_id)""",
+        "exact_tree_importances": f"""{t},
+below AS (SELECT (node - 1) // 2 AS node, sum(n * impurity) AS below FROM marked WHERE node > 0 GROUP BY ALL),
+drops AS (SELECT idx, sum(n * impurity - below) AS drop FROM marked JOIN below USING (node) WHERE idx IS NOT NULL GROUP BY idx)
+SELECT term, {number('CASE WHEN sum(drop) OVER () > 0 THEN drop / sum(drop) OVER () ELSE 0.0 END', 'importance')} FROM drops JOIN vocab USING (idx)""",
+    }
+
+
 def naive_bayes() -> dict[str, str]:
     uniform = "-ln((SELECT count(*) FROM classes))"
     grid = f"""
@@ -447,6 +498,6 @@ ORDER BY round(s / (SELECT n FROM n), 12) DESC, term LIMIT 20""",
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for group in (loading, texts, features, naive_bayes, selection, evaluation, statistics):
+    for group in (loading, texts, features, naive_bayes, exact_trees, selection, evaluation, statistics):
         out.update(group())
     return out

@@ -16,6 +16,7 @@ from lexispark.operators import corpus_stats as cs
 from lexispark.operators import metrics as mt
 from lexispark.operators import selection as sel
 from lexispark.operators.classifiers import CLASSIFIERS, RUN_PARAMETERS, SEARCH_GRIDS
+from lexispark.operators.exact_tree import ExactTree
 from lexispark.operators.features import FeatureExtractor, shapes
 from lexispark.operators.labels import balanced_weights, class_sizes, class_table
 from lexispark.operators.naive_bayes import NaiveBayes
@@ -24,6 +25,10 @@ from lexispark.operators.tokens import drop_listed, lemmatize
 from lexispark.session import cached, ensure_checkpoint_dir
 from lexispark.sources import corpus as io
 
+# Fixed value: the depth of a tree in a run without a search.
+EXACT_DEPTH = RUN_PARAMETERS["decision_tree"]["max_depth"]
+
+
 @lru_cache(maxsize=1)
 def stop_list() -> tuple[str, ...]:
     return tuple(load_stopwords("english"))
@@ -677,6 +682,34 @@ def tree_nodes(spark, folder):
     return CLASSIFIERS["decision_tree"](**RUN_PARAMETERS["decision_tree"]).fit(train).nodes(spark, extractor.vocabulary)
 
 
+def exact_tree(spark, folder):
+    """A tree with exact thresholds on the rated training documents, and what it is asked with."""
+    docs = clean(rated(spark, folder))
+    extractor = fitted(docs)
+    train, test = part(docs, "train"), part(docs, "test")
+    tree = ExactTree("entropy", EXACT_DEPTH, 5).fit(extractor.transform(train), train.select("doc_id", "label"))
+    return tree, extractor, test
+
+
+@query
+def exact_tree_nodes(spark, folder):
+    tree, extractor, _ = exact_tree(spark, folder)
+    return tree.nodes(extractor.vocabulary)
+
+
+@query
+def exact_tree_predict(spark, folder):
+    tree, extractor, test = exact_tree(spark, folder)
+    scored = tree.predict(extractor.transform(test), test.select("doc_id", "label"))
+    return scored.select("doc_id", "label", "prediction", F.col("probability")[1].alias("probability"))
+
+
+@query
+def exact_tree_importances(spark, folder):
+    tree, extractor, _ = exact_tree(spark, folder)
+    return tree.importances().join(extractor.vocabulary.select("idx", "term"), "idx").select("term", "importance")
+
+
 @query
 def maxent(spark, folder):
     return scored_by(spark, folder, "maxent")
