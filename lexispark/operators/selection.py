@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..functions.arrays import argmax, let
-from ..session import cached, materialise
+from ..session import cached, materialise, written
 from . import lockstep as ls
 from .labels import ClassSize, balanced_weights, class_sizes, class_table, label_at, position_of
 from .lookup import MAX_BROADCAST_ROWS
@@ -481,14 +481,21 @@ def learning_curve(
     parallelism: int = 4,
     key: str = "doc_id",
 ) -> DataFrame:
-    """Learning curve of any classifier over a sample with ``fold``: ``(train_size, fold, train_f1, test_f1)``."""
+    """Learning curve of any classifier over a sample with ``fold``: ``(train_size, fold, train_f1, test_f1)``.
+
+    Rows are ranked once, by key, for every fold left out; a training set is then a filter, so vectors stay where they are.
+    """
     n_first = vectors.where(F.col("fold") != 0).count()
     steps = curve_sizes(n_first, shares)
     tasks = [(s, f) for s in steps for f in range(k)]
+    sums = {f"_r{f}": (F.col("fold") != f).cast("int") for f in range(k)}
+    ranks = running_sums(vectors.select(key, "fold").withColumn("_g", F.lit(0)), ["_g"], key, sums).drop("_g", "fold")
+    vectors = written(vectors.join(ranks, key), "ranked")
+    names = [c for c in vectors.columns if c not in sums]
 
     def run(task):
         size, f = task
-        train = vectors.where(F.col("fold") != f).orderBy(key).limit(size)
+        train = vectors.where((F.col("fold") != f) & (F.col(f"_r{f}") <= size)).select(*names)
         parts = _f1_on(model_of, {}, train, [train, vectors.where(F.col("fold") == f)])
         return size, f, *parts
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,7 +84,12 @@ class Bayes:
         self.classes = [c.label for c in self.sizes]
         self.train = self.extractor.transform(part(self.docs, "train"), ["label"])
         self.test = self.extractor.transform(part(self.docs, "test"))
-        self.model = self.fit(**params)
+        self.params = params
+
+    @cached_property
+    def model(self) -> NaiveBayes:
+        """Fitted at first use: searches and curves need none."""
+        return self.fit(**self.params)
 
     def fit(self, **params) -> NaiveBayes:
         return NaiveBayes(**params).fit(self.train, self.sizes, self.extractor.size)
