@@ -34,3 +34,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def texts(df: DataFrame, *columns: str, text: str = "text") -> DataFrame:
     """The named columns and the text as ``_text``, apart from whatever else the table has."""
     return df.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)], F.col(f"`{text}`").cast("string").alias("_text"))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with more underscores if a column's name starts like it (names in capitals are the same to Spark)."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name = f"_{name}"
+    return name

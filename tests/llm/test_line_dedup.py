@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from lexispark.llm.line_dedup import dedup_lines, keep_bitmaps
+from lexispark.llm.line_dedup import dedup_lines, first_occurrences, keep_bitmaps, line_hashes, lost_lines
 
 from .helpers import LINE, fold, frame, odd_rows, rows
 
@@ -54,3 +54,38 @@ def test_empty_table(spark):
 def test_no_python_on_the_executors(spark):
     plan = dedup_lines(frame(spark, rows(["a"])))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "MapInArrow" not in plan
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_stream_lines_in_order(spark):
+    """The sort by document and position is part of what runs, and nothing is shuffled between the ranges and the stream."""
+    lines = line_hashes(frame(spark, rows([f"{LINE}\n{LINE}"] * 9)))
+    plan = executed(first_occurrences(lines))
+    assert "Window" in plan and plan.count("rangepartitioning") >= 1 and "hashpartitioning" not in plan
+    order = plan[plan.index("Sort [") :].split("]")[0]
+    assert [c.split("#")[0] for c in order[6:].split(", ")] == [f"{c}" for c in ("_h", "_g", "_s", "_id", "_pos")]
+    assert first_occurrences(lines).where("_first").count() == 9
+
+
+def test_frequent_lines_stay_where_they_are(spark):
+    """A key with a partition's share of the lines is broadcast, one with fewer is shuffled; together they are all lost lines."""
+    texts = [f"{LINE}\nThis line is held by few of them only, group {i // 6}." for i in range(60)]
+    lines = line_hashes(frame(spark, rows(texts)))
+    held = first_occurrences(lines).groupBy("_h", "_g").agg(F.count("*").alias("rows"), F.max("_id").alias("_last"))
+    assert sorted(r.rows for r in held.collect()) == [6] * 10 + [60]
+    assert lost_lines(lines, held).count() == 59 + 50
+    assert digests(dedup_lines(frame(spark, rows(texts)))) == brute(rows(texts))
+
+
+def test_clashing_names(spark):
+    data = rows([f"{LINE}\nOwn {i}" for i in range(6)])
+    df = frame(spark, data)
+    for c in ("_id", "_x", "_row", "_ROW_b", "_dropped", "_lines", "N_LINES", "Kept_Text", "dropped"):
+        df = df.withColumn(c, F.lit("z"))
+    got = dedup_lines(df)
+    assert digests(got) == brute(data) and {"_id", "_x", "_row", "_ROW_b", "_dropped", "_lines", "dropped"} < set(got.columns)
+    assert sum(c.lower() in ("n_lines", "kept_text") for c in got.columns) == 2
