@@ -17,9 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template iframe object svg canvas head title select option button textarea".split())
-OUTSIDE = frozenset("nav header footer aside form menu dialog fieldset".split())
+OUTSIDE = frozenset("nav header footer aside menu dialog".split())
+#: Left out like a container of an unlikely name, unless prose lies in them: whole pages can be wrapped in one.
+FORMS = frozenset("form fieldset".split())
+#: Left out up to their end; one that never ends is given up where it starts.
+OPTIONAL_END = DROPPED - {"script", "style"}
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
     "html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -44,7 +50,7 @@ ENDED = re.compile(r"[.!?]( |$)")
 class Node:
     """An open or closed element that holds blocks."""
 
-    __slots__ = ("tag", "up", "depth", "weight", "never", "named", "comments", "sure", "out", "points", "size", "links", "likely", "held", "main")
+    __slots__ = ("tag", "up", "depth", "weight", "never", "named", "comments", "sure", "out", "points", "size", "links", "likely", "held", "main", "form", "prose", "within")
 
     def __init__(self, tag: str, up: Node | None, attrs: dict):
         self.tag, self.up = tag, up
@@ -55,9 +61,13 @@ class Node:
         unlikely, by_role = bool(UNLIKELY.search(hint)), role in UNLIKELY_ROLES
         hidden = "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
         free = tag in ("html", "body", "article", "main")
-        self.never = bool(up and up.never) or tag in OUTSIDE or hidden or (by_role and not free)
-        self.named = unlikely and not free
-        self.comments = self.named and bool(COMMENTS.search(hint))
+        lead = tag == "header" and up is not None and up.within  # the head of an article is a part of it
+        self.within = tag in ("article", "main") or bool(up and up.within)
+        self.form = tag in FORMS
+        self.prose = False
+        self.never = bool(up and up.never) or (tag in OUTSIDE and not lead) or hidden or (by_role and not free)
+        self.named = (unlikely and not free and not lead) or self.form
+        self.comments = unlikely and self.named and bool(COMMENTS.search(hint))
         # one name is an article's and nothing else: 'content has-sidebar', but not 'post-sidebar'
         self.sure = self.named and any(LIKELY.search(x) and not UNLIKELY.search(x) for x in hint.split())
         self.main = tag == "main" or role == "main"
@@ -75,7 +85,8 @@ class Reader(HTMLParser):
         self.nodes = self.open[:]
         self.blocks: list[tuple[str, int, Node, bool]] = []
         self.parts: list[str] = []
-        self.linked, self.in_link, self.skip = 0, 0, []
+        self.linked, self.in_link, self.link_text = 0, 0, False
+        self.skip, self.skip_at = [], (1, 0)
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip(" ")
@@ -95,9 +106,13 @@ class Reader(HTMLParser):
             self.parts.append(" " if tag == "br" else "")
         elif tag in DROPPED:
             self.skip.append(tag)
+            self.skip_at = self.getpos()
         elif tag == "a":
-            self.in_link = 1
+            self.in_link = len(self.open) if any(k == "href" for k, _ in attrs) else 0
+            self.link_text = False
         elif tag in BLOCKS:
+            if self.in_link and (self.link_text or len(self.open) < self.in_link):
+                self.in_link = 0  # a link that was never closed
             self.flush()
             if tag in CLOSES_P:
                 self.close("p", stop=("td", "th", "div", "article", "section", "li"))
@@ -130,6 +145,8 @@ class Reader(HTMLParser):
         elif tag in BLOCKS:
             self.flush()
             self.close(tag)
+            if len(self.open) < self.in_link:
+                self.in_link = 0
 
     def close_all(self) -> None:
         super().close()
@@ -140,18 +157,34 @@ class Reader(HTMLParser):
             self.parts.append(data)
             if self.in_link:
                 self.linked += len(data.strip())
+                self.link_text |= len(self.open) == self.in_link and not data.isspace()
 
 
-def read_page(html: str) -> Reader:
+def parsed(html: str) -> Reader:
     """The blocks of a page; a marked section that the parser can't read is text."""
     reader = Reader()
     try:
         reader.feed(html)
         reader.close_all()
     except AssertionError:
-        reader = Reader()
-        reader.feed(html.replace("<![", "&lt;!["))
-        reader.close_all()
+        return parsed(html.replace("<![", "&lt;!["))
+    return reader
+
+
+def read_page(html: str) -> Reader:
+    """The blocks of a page. An element to be left out that never ends takes its own text along, and not the rest of the page.
+
+    Each kind of element can be given up once, so a page is read a few times at most.
+    """
+    reader, given_up = parsed(html), set()
+    while reader.skip and reader.skip[0] in OPTIONAL_END - given_up:
+        tag, (line, column) = reader.skip[0], reader.skip_at
+        given_up.add(tag)
+        at = 0
+        for _ in range(line - 1):
+            at = html.index("\n", at) + 1
+        html = html[: at + column] + re.sub(rf"<{tag}\b[^<>]*>[^<]*|</{tag}\s*>", " ", html[at + column :], flags=re.I)
+        reader = parsed(html)
     return reader
 
 
@@ -169,11 +202,15 @@ def points_of(text: str) -> float:
     return 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
 
 
+def prose(text: str) -> bool:
+    return len(text) > 80 or ENDED.search(text) is not None
+
+
 def leave_out(page: Reader) -> bool:
     """Marks what the names of containers leave out; false if no name does.
 
     A container of an unlikely name stays if it is surely named like an article too, or holds the page's main part, the article
-    with the most points or more than half of all points (comments: the main part only).
+    with the most points or more than half of all points (comments: the main part only). So does a form, if there is prose in it.
     """
     if not any(n.named for n in page.nodes):
         return False
@@ -181,10 +218,12 @@ def leave_out(page: Reader) -> bool:
     for text, _, node, paragraph in page.blocks:
         if counted(node, paragraph):
             node.held += points_of(text)
+            node.prose |= prose(text)
             total += points_of(text)
     for node in reversed(page.nodes):  # what lies in a container counts for those above
         if node.up is not None:
             node.up.held += node.held
+            node.up.prose |= node.prose
             node.up.main |= node.main and not node.never
     best = max((n for n in page.nodes if n.tag == "article" and not n.never and not in_comments(n)), key=lambda n: n.held, default=None)
     above = set()
@@ -192,7 +231,7 @@ def leave_out(page: Reader) -> bool:
         above.add(id(best))
         best = best.up
     for n in page.nodes:  # those above come first
-        kept = n.sure or n.main or (not n.comments and (id(n) in above or n.held > total / 2))
+        kept = (n.sure or n.main or (not n.comments and (id(n) in above or n.held > total / 2))) and (n.prose or not n.form)
         n.out = n.never or bool(n.up and n.up.out) or (n.named and not kept)
     return any(n.out and not n.never for n in page.nodes)
 
@@ -237,8 +276,8 @@ def main_text(html: str | None) -> str:
     named = leave_out(page)
     text = article(page)
     if named and not text:
-        for n in page.nodes:
-            n.out = n.never
+        for n in page.nodes:  # those above come first
+            n.out = n.never or bool(n.up and n.up.out) or (n.form and not n.prose)
         text = article(page)
     return text
 
@@ -266,15 +305,16 @@ def article(page: Reader) -> str:
                 out.append(text)
         elif sibling[id(node)]:
             top, points = sibling[id(node)]
-            prose = top.tag == "p" and density(top) < 0.25 and (len(text) > 80 or ENDED.search(text) is not None)
-            if points >= limit or prose or top.tag == "h1":
+            if points >= limit or top.tag == "h1" or (top.tag == "p" and density(top) < 0.25 and prose(text)):
                 out.append(text)
     return " ".join(out)
 
 
 def extract(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:
-    """``pages`` with the main text (replacing a column of that name). Null and empty pages give empty text; nothing is cut."""
-    names = [c for c in pages.columns if c != into]
+    """``pages`` with the main text (replacing a column of that name, in capitals or not). Null and empty pages give empty text; nothing is cut."""
+    names = [c for c in pages.columns if c.lower() != into.lower()]
+    if html not in names:
+        pages, html = pages.withColumn(unused(pages, "_html"), F.col(f"`{html}`")), unused(pages, "_html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,5 +323,5 @@ def extract(pages: DataFrame, html: str = "html", into: str = "text") -> DataFra
                 found = pa.array([main_text(x.as_py()) for x in part.column(html)], pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), found], [*names, into])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != into] + [f"`{into}` string"])
-    return pages.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in names] + [f"`{into}` string"])
+    return pages.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, html])]).mapInArrow(run, schema)
