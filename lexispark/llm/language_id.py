@@ -169,7 +169,7 @@ SPANS = "lang_pred string, score double, spans array<struct<lang:string,start:in
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``spans`` (replacing columns of those names).
+    """``docs`` with ``lang_pred``, ``score`` and ``spans`` (replacing columns of those names, in capitals or not).
 
     ``spans`` are runs of words of one language, from the first to the last code point of their words; ``lang_pred`` has most
     letters in them (ties: the first by name) and ``score`` is its share of letters. A null text or one without a letter is ``und``
@@ -177,7 +177,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(model)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "spans")]
+    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "spans")]
     span = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("length", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -62,3 +62,10 @@ def test_nothing_to_learn_from(spark):
     got = li.identify(frame(spark, rows(["some text"])), li.train(frame(spark, []))).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)]
     assert li.languages(frame(spark, [])).count() == 0
+
+
+def test_clashing_names(spark):
+    df = frame(spark, rows(["one word here", "un mot ici", None])).withColumn("Score", F.lit("z")).withColumn("SPANS", F.lit("z"))
+    got = languages(df)
+    assert sorted(c for c in got.columns if c.lower() in ("score", "spans", "lang_pred")) == ["lang_pred", "score", "spans"]
+    assert got.where("score BETWEEN 0 AND 1").count() == 3
