@@ -2,6 +2,7 @@ import zlib
 from itertools import product
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lexispark.llm import language_id as li
 from lexispark.llm.common import table
@@ -66,6 +67,6 @@ def test_nothing_to_learn_from(spark):
 
 def test_clashing_names(spark):
     df = frame(spark, rows(["one word here", "un mot ici", None])).withColumn("Score", F.lit("z")).withColumn("SPANS", F.lit("z"))
-    got = languages(df)
+    got = li.languages(df)
     assert sorted(c for c in got.columns if c.lower() in ("score", "spans", "lang_pred")) == ["lang_pred", "score", "spans"]
     assert got.where("score BETWEEN 0 AND 1").count() == 3
