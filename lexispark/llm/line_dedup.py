@@ -102,18 +102,20 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
     own = unused(docs, "_row")
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "keep_runs", "kept_text")]
     bitmaps = keep_bitmaps(docs, key, text, min_chars, min_docs).select(F.struct("_id", "_x", "_y").alias(f"{own}_b"), F.col("dropped").alias(f"{own}_d"))
-    lined = F.struct(*row_key(key, text), text_lines(F.col(f"`{text}`")).alias("lines"))
-    keyed = docs.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(f"{own}_t"), lined.alias(own))
+    whole = [] if text in names else [F.col(f"`{text}`").alias(f"{own}_t")]
+    keyed = docs.select(*[F.col(f"`{c}`") for c in names], *whole, F.struct(*row_key(key, text)).alias(own))
     same = F.col(f"{own}._id").eqNullSafe(F.col(f"{own}_b._id"))
     for c in ("_x", "_y"):
         same &= F.col(f"{own}.{c}") == F.col(f"{own}_b.{c}")
-    lines, dropped = F.col(f"{own}.lines"), F.col(f"{own}_d")
+    held = F.coalesce(F.col(f"{own}_t" if whole else f"`{text}`"), F.lit(""))
+    lines, dropped = F.col(f"{own}_l"), F.col(f"{own}_d")
     n = F.size(lines)
     none = F.array(F.struct(F.lit(0).alias("start"), n.alias("length")))
-    joined = keyed.join(bitmaps, same, "left").withColumn(f"{own}_r", F.when(dropped.isNull(), none).otherwise(kept_runs(dropped, n)))
+    joined = keyed.join(bitmaps, same, "left").withColumn(f"{own}_l", text_lines(held))
+    joined = joined.withColumn(f"{own}_r", F.when(dropped.isNull(), none).otherwise(kept_runs(dropped, n)))
     runs = F.col(f"{own}_r")
     parts = F.flatten(F.transform(runs, lambda r: F.slice(lines, r["start"] + 1, r["length"])))
-    kept = F.when(dropped.isNull(), F.col(f"{own}_t")).otherwise(F.array_join(parts, "\n"))
+    kept = F.when(dropped.isNull(), held).otherwise(F.array_join(parts, "\n"))
     n_kept = F.aggregate(runs, F.lit(0), lambda acc, r: acc + r["length"])
     return joined.select(
         *[F.col(f"`{c}`") for c in names],
