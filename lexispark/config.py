@@ -43,6 +43,10 @@ class RunConfig:
     learning_curves: bool = True
     curve_sample: int | None = 10_000
     """Training rows that learning curves are drawn on; ``None`` takes all."""
+    resume: bool = False
+    """Take over every loaded table, text, extractor and model of an earlier run in ``results_dir`` that would come out the same."""
+    stale: str = "refuse"
+    """What a skipped stage does if its stored result comes from other inputs: ``refuse`` (an error) or ``redo``."""
     skip_preprocessing: bool = False
     skip_feature_extraction: bool = False
     skip_model_training: bool = False

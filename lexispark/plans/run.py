@@ -1,7 +1,8 @@
 """A whole run: load, clean, extract features, train, evaluate, describe.
 
 Every stage writes its result under ``results_dir`` and the next stage reads it from there, so
-a stage that is skipped is taken from an earlier run.
+a stage that is skipped, or that would come out the same, is taken from an earlier run. Manifests (see ``manifest``) tell
+which stored stages belong to the inputs and settings at hand.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from ..operators.naive_bayes import NaiveBayes
 from ..operators.tokens import lemmatize
 from ..session import cached
 from ..sources import artifacts, corpus
+from .manifest import Stages, StaleStage, digest, files_digest, table_digest
 
 NB_PARAMETERS = ["alpha", "fit_prior"]
 
@@ -38,6 +40,7 @@ class Features:
     train: DataFrame
     test: DataFrame
     sizes: list[ClassSize]
+    fingerprint: str = ""
     _vectors: dict = field(default_factory=dict)
 
     def long(self, split: str, keep=()) -> DataFrame:
@@ -59,6 +62,8 @@ class RunResult:
     models: dict = field(default_factory=dict)
     failures: dict = field(default_factory=dict)
     tables: dict = field(default_factory=dict)
+    stages: list = field(default_factory=list)
+    """Stages in order, and whether each was made or taken over."""
     seconds: float = 0.0
 
 
@@ -66,11 +71,13 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     start = time.time()
     names = cfg.model_names()
     result = RunResult()
-    train, test = load(spark, cfg)
-    docs = preprocess(spark, cfg, train, test)
-    features = extract(spark, cfg, docs)
+    stages = Stages(spark, cfg.results_dir, cfg.resume, cfg.stale)
+    result.stages = stages.actions
+    (train, test), loaded = load(spark, cfg, stages)
+    docs, cleaned = preprocess(spark, cfg, train, test, stages, loaded)
+    features = extract(spark, cfg, docs, stages, {"training table": loaded["train"], "clean-up": cleaned})
     try:
-        train_models(spark, cfg, names, features, result)
+        train_models(spark, cfg, names, features, result, stages)
         if not cfg.skip_evaluation and result.models:
             evaluate(spark, cfg, features, result)
         if not cfg.skip_statistics:
@@ -84,56 +91,82 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
 # Stages ---------------------------------------------------------------------------------------------
 
 
-def load(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """Both splits with columns ``doc_id, text, label`` (and ``dataset``), checked for their columns."""
-    out = []
+def load(spark: SparkSession, cfg: RunConfig, stages: Stages) -> tuple[tuple[DataFrame, DataFrame], dict[str, str]]:
+    """Both splits with columns ``doc_id, text, label`` (and ``dataset``), checked for their columns, and their fingerprints."""
+    out, marks = [], {}
     for split, path in (("train", cfg.train_path), ("test", cfg.test_path)):
+        stage, folder = f"loaded_{split}", f"{cfg.results_dir}/loaded"
+        made_from = {"input": files_digest(spark, path)}
+        settings = {k: getattr(cfg, k) for k in ("text_column", "label_column", "data_format", "multi_line", "label_type")}
+        marks[split] = stages.reuse(stage, made_from, settings)
+        if marks[split]:
+            out.append(spark.read.parquet(f"{folder}/{split}"))
+            continue
         df = corpus.read_corpus(
             spark, path, split, cfg.text_column, cfg.label_column, fmt=cfg.data_format, multi_line=cfg.multi_line
         )
         columns = ["doc_id", "split"] + (["dataset"] if "dataset" in df.columns else [])
         text, label = F.col(cfg.text_column).alias("text"), F.col(cfg.label_column).cast(cfg.label_type).alias("label")
         # generated keys depend on how a scan is cut, so the keyed rows are written once
-        out.append(artifacts.save_table(df.select(*columns, text, label), f"{cfg.results_dir}/loaded", split))
-    return tuple(out)
+        out.append(artifacts.save_table(df.select(*columns, text, label), folder, split))
+        marks[split] = stages.commit(stage, made_from, settings)
+    return tuple(out), marks
 
 
-def preprocess(spark: SparkSession, cfg: RunConfig, train: DataFrame, test: DataFrame) -> DataFrame:
-    """Both splits with the text the features are built from; raw texts when the stage is skipped."""
+def preprocess(
+    spark: SparkSession, cfg: RunConfig, train: DataFrame, test: DataFrame, stages: Stages, loaded: dict[str, str]
+) -> tuple[DataFrame, str]:
+    """Both splits with the text the features are built from (raw texts when the stage is skipped), and a digest of how it was made."""
     docs = corpus.union_splits(train, test)
     if cfg.skip_preprocessing:
-        return docs
+        return docs, digest("raw texts")
     stop = load_stopwords(cfg.language, cfg.custom_stopwords, fold=cfg.fold_stopwords)
+    lemmas = spark.read.parquet(cfg.lemma_path) if cfg.lemma_path else None
+    settings = {"stop-words": sorted(stop), "least length": cfg.min_word_length, "lemmas": table_digest(lemmas) if lemmas else None}
+    cleaned, made_from = digest(settings), {"training table": loaded["train"], "test table": loaded["test"]}
+    if stages.reuse("processed", made_from, settings):
+        return spark.read.parquet(f"{cfg.results_dir}/processed/documents"), cleaned
     docs = docs.withColumn("tokens", tx.clean_tokens(F.col("text"), stop, cfg.min_word_length))
-    if cfg.lemma_path:
-        docs = lemmatize(docs, spark.read.parquet(cfg.lemma_path))
+    if lemmas is not None:
+        docs = lemmatize(docs, lemmas)
     docs = docs.withColumn("processed_text", F.array_join("tokens", " "))
-    return artifacts.save_table(docs.drop("text"), f"{cfg.results_dir}/processed", "documents")
+    docs = artifacts.save_table(docs.drop("text"), f"{cfg.results_dir}/processed", "documents")
+    stages.commit("processed", made_from, settings)
+    return docs, cleaned
 
 
-def extract(spark: SparkSession, cfg: RunConfig, docs: DataFrame) -> Features:
+def extract(spark: SparkSession, cfg: RunConfig, docs: DataFrame, stages: Stages, made_from: dict[str, str]) -> Features:
     path = f"{cfg.results_dir}/models/feature_extractor"
     columns = ["doc_id", "label"] + (["text"] if cfg.skip_preprocessing else ["tokens"])
     train, test = (docs.where(F.col("split") == s).select(*columns) for s in ("train", "test"))
-    if cfg.skip_feature_extraction:
+    settings = {"method": cfg.feature_method, "n-grams": list(cfg.ngram_range), "terms": cfg.max_features}
+    mark = stages.reuse("feature_extractor", made_from, settings, cfg.skip_feature_extraction)
+    if mark:
         extractor = FeatureExtractor.load(spark, path)
     else:
         extractor = FeatureExtractor(cfg.feature_method, cfg.ngram_range, cfg.max_features).fit(train)
         extractor.save(path)
-    return Features(extractor, train, test, class_sizes(train))
+        mark = stages.commit("feature_extractor", made_from, settings)
+    return Features(extractor, train, test, class_sizes(train), mark)
 
 
-def train_models(spark: SparkSession, cfg: RunConfig, names: list[str], features: Features, result: RunResult) -> None:
-    """Fit (or search, or load) every model; one that fails is recorded and the others go on."""
+def train_models(spark: SparkSession, cfg: RunConfig, names: list[str], features: Features, result: RunResult, stages: Stages) -> None:
+    """Fit (or search, or load) every model; one that fails is recorded and the others go on. A stale model ends the run."""
+    made_from = {"extractor": features.fingerprint}
     for name in names:
         path = f"{cfg.results_dir}/models/{name}"
+        search = [cfg.cv, cfg.search_grids.get(name)] if cfg.optimize else None
+        settings = {"parameters": cfg.model_params.get(name, {}), "search": search}
         try:
-            if cfg.skip_model_training:
+            if stages.reuse(f"model_{name}", made_from, settings, cfg.skip_model_training):
                 model = NaiveBayes.load(spark, path) if name == "naive_bayes" else load_classifier(spark, path)
             else:
                 model = _fit(spark, cfg, name, features)
                 model.save(path)
+                stages.commit(f"model_{name}", made_from, settings)
             result.models[MODEL_TITLES[name]] = model
+        except StaleStage:
+            raise
         except Exception:  # the other models still run
             result.failures[MODEL_TITLES[name]] = traceback.format_exc()
 

@@ -353,6 +353,7 @@ curve AS (SELECT train_size, fold::INTEGER AS fold, max(f1_score) FILTER (part =
         "nb_complement_model": f"{with_(bayes())} SELECT label, idx, term, {number('logp', 'logp')} FROM complement",
         "nb_uniform_prior": f"{with_(bayes(*RATED), scored(*RATED, prior=uniform))} SELECT doc_id, label, prediction FROM scored",
         "nb_predict": f"{with_(bayes(*SOURCE), scored(*SOURCE))} SELECT doc_id, label, prediction FROM scored",
+        "resumed_run": f"{with_(bayes(*SOURCE), scored(*SOURCE))} SELECT doc_id, label, prediction FROM scored",
         "nb_complement_predict": f"""{with_(bayes(*SOURCE), scored(*SOURCE, model='complement', prior='0.0'))}
 SELECT doc_id, label, prediction FROM scored""",
         "nb_predict_proba": f"""{with_(bayes(*SOURCE), scored(*SOURCE))}

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.config import RunConfig
 from lexispark.functions import text as tx
 from lexispark.functions.arrays import ngrams
 from lexispark.functions.stopwords import load_stopwords
@@ -22,6 +23,7 @@ from lexispark.operators.labels import balanced_weights, class_sizes, class_tabl
 from lexispark.operators.naive_bayes import NaiveBayes
 from lexispark.operators.projection import project
 from lexispark.operators.tokens import drop_listed, lemmatize
+from lexispark.plans.run import run
 from lexispark.session import cached, ensure_checkpoint_dir
 from lexispark.sources import corpus as io
 
@@ -393,6 +395,22 @@ def nb_predict(spark, folder):
     return predictions(Bayes(documents(spark, folder, "source")))
 
 
+@query
+def resumed_run(spark, folder):
+    """Predictions of a run that stopped after training and was resumed: texts, extractor and model come from its files."""
+    ensure_checkpoint_dir(spark)
+    base = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/run-{uuid.uuid4().hex}"
+    docs = documents(spark, folder, "source").select("doc_id", "text", "label", "split")
+    for split in ("train", "test"):
+        part(docs, split).drop("split").write.parquet(f"{base}/{split}")
+    options = {"data_format": "parquet", "language": "english", "models": "naive_bayes", "learning_curves": False, "skip_statistics": True}
+    run(spark, RunConfig(f"{base}/train", f"{base}/test", f"{base}/out", **options, skip_evaluation=True))
+    resumed = run(spark, RunConfig(f"{base}/train", f"{base}/test", f"{base}/out", **options, resume=True))
+    if resumed.failures or any(action != "taken over" for _, action in resumed.stages):
+        raise RuntimeError(f"stages were not taken over: {resumed.stages} {resumed.failures}")
+    return spark.read.parquet(f"{base}/out/metrics/scored/naive_bayes").select("doc_id", "label", "prediction")
+
+
 @query
 def nb_complement_predict(spark, folder):
     return predictions(Bayes(documents(spark, folder, "source"), variant="complement"))
