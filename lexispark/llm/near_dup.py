@@ -7,15 +7,14 @@
 3. ``BAND`` registers together make a bucket key. A pair at similarity 0.8 misses all ``BANDS`` buckets with probability 5e-7.
 4. Buckets never emit their pairs. Each representative is first compared with the most often met member of its buckets;
    what links is one group. Members outside the main group of a bucket are then laid against the rest of it in
-   blocks of bounded size: first in some of the bands, each offering its likeliest partners, then in all bands, offering every
-   partner that is still in another group.
+   blocks of bounded size, in some of the bands first and, with the groups found there, in the others. A block passes on the
+   members that may have a partner, is joined with their sets, and returns a spanning forest of the links it confirms.
 5. A pair is dropped without its sets only if sizes exclude it or its likelihood estimate is more than five standard
    deviations below the limit. All others are confirmed on the full sets, and only confirmed links join groups.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,8 +31,10 @@ REGISTERS = BAND * BANDS
 BASE, RATE, TOP = 1.1, 20.0, (1 << 8) - 2
 """Spacing of levels, rate of the values, and largest level but one: a register is a byte, and sets of up to 10^9 elements fit."""
 EARLY = 8
-"""Bands that are searched for the likeliest partners before all bands are searched for all partners."""
+"""Bands that are searched first; what links there is one group in the others."""
 BLOCK = 512
+HELD_BYTES, PASSING = 1 << 24, 64
+"""Sets of a block that a task holds (one set may be larger), and members that are laid against them at once."""
 HELD, PART = 128, 1024
 BROADCAST_ROWS = 1_000_000
 """A list of ids is broadcast up to this many rows (8 MB), else joined by shuffle."""
@@ -304,70 +305,150 @@ def open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     return placed.join(blocks, "key").select("key", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("outside"), "lefts", "rights")
 
 
-def block_pairs(rows: DataFrame, nodes: DataFrame, blocks: int, limit: int, best: bool) -> DataFrame:
-    """Likely partners ``blk, y, xs`` (see ``verify``; ``xs`` outside the largest group) in groups that meet in a bucket (``rows`` of ``open_buckets``).
+def shared_pairs(left: Members, right: Members, key: int, limit: int) -> tuple[np.ndarray, ...]:
+    """Pairs (places in ``left`` and ``right``, registers that are larger, smaller) which a bucket has to settle.
 
-    The members outside a bucket's largest group are cut into blocks of about ``BLOCK`` and laid against all members in such
-    blocks. A pair is taken in the first band that both share; ``best``: each node offers its likeliest partner of each other
-    group in the block only.
+    They are of different groups, their sizes allow a link, ``key`` is the first bucket they share and about enough of their
+    registers are equal. A pair that could be met from both of its ends is taken from the smaller id.
+    """
+    x, y = np.repeat(np.arange(len(left.node)), len(right.node)), np.tile(np.arange(len(right.node)), len(left.node))
+    nx, ny = left.n[x], right.n[y]
+    good = (left.comp[x] != right.comp[y]) & (100 * np.minimum(nx, ny) >= limit * np.maximum(nx, ny))
+    good &= ~right.outside[y] | (left.node[x] < right.node[y])
+    x, y = x[good], y[good]
+    more, less, first = (np.zeros(len(x), np.int64) for _ in range(3))
+    for s in range(0, len(x), 8192):
+        part = slice(s, s + 8192)
+        u, v = x[part], y[part]
+        more[part] = (left.level[u] > right.level[v]).sum(axis=1)
+        less[part] = (left.level[u] < right.level[v]).sum(axis=1)
+        shared = left.bands[u] == right.bands[v]
+        first[part] = np.where(shared.any(axis=1), left.bands[u, shared.argmax(axis=1)], ~key)
+    # an estimate at the limit needs about that share of equal registers
+    good = (first == key) & (REGISTERS - more - less >= (floor_of(limit) - 0.05) * REGISTERS)
+    return x[good], y[good], more[good], less[good]
+
+
+class Members:
+    """Some members of a bucket as arrays: ids, groups, set sizes, registers, bucket keys, and whether outside the largest group."""
+
+    def __init__(self, t: pa.Table | pa.RecordBatch):
+        self.node, self.comp, self.n, self.outside = (t.column(c).to_numpy(zero_copy_only=False) for c in ("node", "comp", "n", "outside"))
+        self.level = levels(t.column("sketch"))
+        self.bands = band_keys(self.level)
+
+    def __getitem__(self, at: slice | np.ndarray) -> Members:
+        out = object.__new__(Members)
+        out.__dict__ = {k: v[at] for k, v in self.__dict__.items()}
+        return out
+
+
+_MEMBERS = "key bigint, i int, j int, part int, side int, node bigint, comp bigint, n bigint, outside boolean, sketch binary"
+
+
+def block_members(rows: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
+    """The members of open buckets (``rows`` of ``open_buckets``) that a partner may be found for, by block.
+
+    The members outside a bucket's largest group (side 0) are cut into blocks of about ``BLOCK`` and laid against all members
+    (side 1) in such blocks. At most one row comes out of a member in a block, and no pair; if the sets of side 0 are
+    larger than ``HELD_BYTES`` together, the block is split into ``part``s and side 1 is repeated for each that needs it.
     """
-    lowest = floor_of(limit)
     left = rows.where("outside").select(
         "key", F.pmod(F.xxhash64("node"), F.col("lefts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"),
-        F.lit(0).alias("side"), "node", "comp",
+        F.lit(0).alias("side"), "node", "comp", "outside",
     )
     right = rows.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), F.pmod(F.xxhash64("node", F.lit(7)), F.col("rights")).cast("int").alias("j"),
-        F.lit(1).alias("side"), "node", "comp",
+        F.lit(1).alias("side"), "node", "comp", "outside",
     )
     drawn = left.unionByName(right).join(nodes.select("node", "n", "sketch"), "node")
     dealt = drawn.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
 
     def work(t: pa.Table) -> pa.RecordBatch:
-        key, i, j, side, node, comp, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "side", "node", "comp", "n"))
-        level = levels(t.column("sketch"))
-        bands = band_keys(level)
+        t = t.combine_chunks()
+        key, i, j, side = (t.column(c).to_numpy() for c in ("key", "i", "j", "side"))
+        every = Members(t)
         change = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        out_b, out_y, out_x = [], [], []
-        dealt_to = np.array([zlib.crc32(str(v).encode()) % blocks for v in node.tolist()], np.int32)
-        for lo, hi in zip(np.append(0, change), np.append(change, len(key)), strict=True):
+        rows_out, parts_out = [], []
+        for lo, hi in zip(np.append(0, change).tolist(), np.append(change, len(key)).tolist(), strict=True):
             split = lo + int((side[lo:hi] == 0).sum())
-            p, q = np.arange(lo, split), np.arange(split, hi)
-            if not len(p) or not len(q):
+            x, y, _, _ = shared_pairs(every[lo:split], every[split:hi], key[lo], limit)
+            if not len(x):
                 continue
-            x, y = np.repeat(p, len(q)), np.tile(q, len(p))
-            good = (comp[x] != comp[y]) & (100 * np.minimum(n[x], n[y]) >= limit * np.maximum(n[x], n[y]))
-            x, y = x[good], y[good]
-            more, less, first = (np.zeros(len(x), np.int64) for _ in range(3))
-            for s in range(0, len(x), 8192):
-                u, v = x[s : s + 8192], y[s : s + 8192]
-                more[s : s + 8192] = (level[u] > level[v]).sum(axis=1)
-                less[s : s + 8192] = (level[u] < level[v]).sum(axis=1)
-                shared = bands[u] == bands[v]
-                first[s : s + 8192] = bands[u, shared.argmax(axis=1)]
-            # rough cut first: an estimate needs about that share of equal registers
-            good = (first == key[lo]) & (REGISTERS - more - less >= (lowest - 0.05) * REGISTERS)
-            x, y, more, less = x[good], y[good], more[good], less[good]
-            score = likeliest(more, less, n[x], n[y])
-            good = score >= lowest
-            x, y, score = x[good], y[good], score[good]
-            if best and len(x):
-                order = np.lexsort((-score, comp[y], x))
-                x, y = x[order], y[order]
-                new = np.ones(len(x), bool)
-                new[1:] = (x[1:] != x[:-1]) | (comp[y][1:] != comp[y][:-1])
-                x, y = x[new], y[new]
-            order = np.lexsort((dealt_to[x], y))
-            x, y = x[order], y[order]
-            if len(x):
-                to = dealt_to[x]
-                first = np.flatnonzero(np.append(True, (y[1:] != y[:-1]) | (to[1:] != to[:-1])))
-                out_b += to[first].tolist()
-                out_y += node[y[first]].tolist()
-                out_x += [part.tolist() for part in np.split(node[x], first[1:])]
-        return pa.RecordBatch.from_pydict({"blk": pa.array(out_b, pa.int32()), "y": pa.array(out_y, pa.int64()), "xs": pa.array(out_x, pa.list_(pa.int64()))})
-
-    return dealt.mapInArrow(streamed(["key", "i", "j"], work), "blk int, y bigint, xs array<bigint>")
+            held = np.unique(x)
+            size = 8 * every.n[lo + held]
+            part = np.zeros(split - lo, np.int64)
+            part[held] = (np.cumsum(size) - size) // HELD_BYTES
+            met = np.unique(np.stack([part[x], y]), axis=1)
+            rows_out += [lo + held, split + met[1]]
+            parts_out += [part[held], met[0]]
+        at = np.concatenate(rows_out) if rows_out else np.zeros(0, np.int64)
+        parts = np.concatenate(parts_out) if parts_out else np.zeros(0, np.int64)
+        columns = {name: t.column(name).take(pa.array(at)).combine_chunks() for name in t.column_names}
+        columns["part"] = pa.array(parts.astype(np.int32))
+        return pa.RecordBatch.from_pydict({c.split()[0]: columns[c.split()[0]] for c in _MEMBERS.split(", ")})
+
+    return dealt.select("key", "i", "j", "side", "node", "comp", "n", "outside", "sketch").mapInArrow(streamed(["key", "i", "j"], work), _MEMBERS)
+
+
+class Forest:
+    """Groups that links join; ``join`` says whether two were apart."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, g: int) -> int:
+        while (parent := self.up.get(g, g)) != g:
+            self.up[g] = g = self.up.get(parent, parent)
+        return g
+
+    def join(self, g: int, h: int) -> bool:
+        g, h = self.root(g), self.root(h)
+        self.up[max(g, h)] = min(g, h)
+        return g != h
+
+
+def block_links(members: DataFrame, docs: DataFrame, key: str, text: str, size: int, limit: int) -> DataFrame:
+    """Links ``a, b`` that join all groups which members of one block (rows of ``block_members``) link on their full sets.
+
+    Side 0 of a part of a block is held, side 1 streams past it. A pair is compared unless sizes or its estimate exclude it or
+    confirmed links of the part join its groups already; so a part returns a spanning forest, fewer links than it has members.
+    """
+    sets = packed_sets(docs, members.select("node").distinct(), key, text, size)
+    group = ["key", "i", "j", "part"]
+    ordered = members.join(sets, "node").repartition(*group).sortWithinPartitions(*group, "side")
+    lowest = floor_of(limit)
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, forest, held, held_sets = None, Forest(), [], []
+        for batch in batches:
+            ids = np.stack([batch.column(c).to_numpy() for c in (*group, "side")]) if batch.num_rows else np.zeros((5, 0), np.int64)
+            cuts = (np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist()
+            links = []
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True) if batch.num_rows else ():
+                if tuple(ids[:4, lo]) != at:
+                    at, forest, held, held_sets = tuple(ids[:4, lo]), Forest(), [], []
+                run = batch.slice(lo, hi - lo)
+                own = [np.frombuffer(v.as_buffer(), np.uint64) for v in run.column("items")]
+                if ids[4, lo] == 0:
+                    held.append(run.select(["node", "comp", "n", "outside", "sketch"]))
+                    held_sets += [v.copy() for v in own]
+                    continue
+                left, right = Members(pa.Table.from_batches(held).combine_chunks()), Members(run)
+                for s in range(0, hi - lo, PASSING):
+                    some = right[s : s + PASSING]
+                    x, y, more, less = shared_pairs(left, some, int(ids[0, lo]), limit)
+                    score = likeliest(more, less, left.n[x], some.n[y])
+                    order = np.argsort(-score, kind="stable")
+                    order = order[score[order] >= lowest]
+                    for u, v in zip(x[order].tolist(), y[order].tolist(), strict=True):
+                        g, h = int(left.comp[u]), int(some.comp[v])
+                        if forest.root(g) != forest.root(h) and alike(held_sets[u], own[s + v], limit):
+                            forest.join(g, h)
+                            links.append(sorted((int(left.node[u]), int(some.node[v]))))
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return ordered.select(*group, "side", "node", "comp", "n", "outside", "sketch", "items").mapInArrow(confirm, "a bigint, b bigint").distinct()
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, limit: int = 80) -> DataFrame:
@@ -400,13 +481,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     groups = components(links)
 
     one = nodes.dropDuplicates(["node"])
-    for best in (True, False):
-        open_ = stored(open_buckets(buckets.where(F.col("band") < EARLY) if best else buckets, groups), "open")
-        held = open_.where("outside").select(F.col("node").alias("x")).distinct()
-        blocks = blocks_for(held)
-        partners = stored(block_pairs(open_, one, blocks, limit, best), "partners")
-        if not partners.isEmpty():
-            more = stored(verify(partners, held, blocks, docs, key, text, size, limit), "links")
+    early = F.col("band") < EARLY
+    for bands in (early, ~early):  # a pair is settled in the first bucket it shares, so no pair is met in both
+        open_ = stored(open_buckets(buckets.where(bands), groups), "open")
+        members = stored(block_members(open_, one, limit), "members")
+        if not members.isEmpty():
+            more = stored(block_links(members, docs, key, text, size, limit), "links")
             if not more.isEmpty():
                 links = stored(links.unionByName(more), "links")
                 groups = components(links)

@@ -70,6 +70,8 @@ def test_blocks_of_a_bucket(spark, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 7)
     monkeypatch.setattr(nd, "HELD", 5)
     monkeypatch.setattr(nd, "PART", 9)
+    monkeypatch.setattr(nd, "HELD_BYTES", 2000)
+    monkeypatch.setattr(nd, "PASSING", 3)
     check(spark, rows(copies(150, 60, 9, 4)))
 
 
