@@ -20,7 +20,7 @@ from . import lockstep as ls
 from .labels import ClassSize, balanced_weights, class_sizes, class_table, label_at, position_of
 from .lookup import MAX_BROADCAST_ROWS
 from .metrics import summary
-from .naive_bayes import weighted_sums
+from .naive_bayes import NaiveBayes, weighted_sums
 from .ordered import row_numbers, running_sums
 
 # Default grid of Naive Bayes and the shares of a learning curve.
@@ -243,6 +243,28 @@ def best_point(results: DataFrame, params: Sequence[str], grid: dict | None = No
     return grid_means(results, params).orderBy(F.desc(F.round("mean_f1", 12)), *places).limit(1)
 
 
+def tuned_naive_bayes(
+    results: DataFrame,
+    features: DataFrame,
+    sizes: list[ClassSize],
+    n_features: int,
+    held_out: tuple[DataFrame, DataFrame] | None = None,
+) -> tuple[NaiveBayes, DataFrame]:
+    """The model of a search's best point, fitted on all rows searched, and a report of one row.
+
+    The report has the point and its score over the folds and, for ``held_out`` (long features and documents that the search
+    has not seen), the number of rows and the label metrics on them.
+    """
+    best = best_point(results, ["alpha", "fit_prior"]).first()
+    model = NaiveBayes(alpha=best.alpha, fit_prior=best.fit_prior).fit(features, sizes, n_features)
+    point = [F.lit(best[c]).alias(c) for c in ("alpha", "fit_prior", "mean_f1", "std_f1")]
+    if held_out is None:
+        return model, results.sparkSession.range(1).select(*point)
+    scored = model.predict(*held_out).where(F.col("label").isNotNull())
+    measured = summary(scored.withColumn("held_out", F.lit(1)), ["held_out"]).drop("held_out")
+    return model, measured.select(*point, *[F.col(c).alias(f"held_out_{c}") for c in measured.columns])
+
+
 def curve_sizes(n_train: int, shares: Sequence[float] = CURVE_SHARES) -> list[int]:
     """Absolute training sizes of a learning curve."""
     return sorted({max(int(s * n_train), 1) for s in shares})

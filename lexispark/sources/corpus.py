@@ -125,7 +125,8 @@ def key_split(key: Column | str = "doc_id", modulus: int = SPLIT_MODULUS) -> Col
 def random_split(df: DataFrame, key: str = "doc_id", test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Random train/test split by a seeded hash of the key, the same on every run."""
     slots = 10_000
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(slots))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
+    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(slots))
     return df.withColumn("split", F.when(bucket < int(test_share * slots), "test").otherwise("train"))
 
 

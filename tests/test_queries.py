@@ -12,7 +12,8 @@ TABLES = "documents labels pages conversations benchmark embeddings".split()
 # one or two of each family; the whole set is compared outside the unit tests
 CHECKED = [
     "dataset_label_crosstab", "csv_corpus_roundtrip", "normalize_pages", "custom_stopword_antijoin", "lemma_lookup", "processed_text",
-    "full_vocabulary", "tfidf_weights", "unbounded_tfidf", "nb_complement_predict", "resumed_run", "nb_grid_search", "nb_learning_curve",
+    "full_vocabulary", "tfidf_weights", "unbounded_tfidf", "nb_complement_predict", "resumed_run", "nb_grid_search", "nb_holdout_report", "random_split", "stopword_filter_by_code",
+    "comparison_without_probability", "timings_unpivot", "nb_learning_curve",
     "stratified_folds", "stratified_sample", "class_report", "roc_points", "ovr_auc_per_class", "model_comparison",
     "doc_length_histogram", "doc_length_density", "word_frequency_by_class", "feature_correlation", "ml_vectors", "ml_vector_entries", "exact_tree_nodes", "exact_tree_predict", "exact_tree_importances",
 ]

@@ -182,6 +182,10 @@ def texts() -> dict[str, str]:
     words = f"words AS (SELECT DISTINCT unnest(regexp_extract_all({normalized('text')}, '[\\p{{L}}\\p{{N}}_]+')) AS word FROM benchmark)"
     spread = "SELECT doc_id, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM docs"
     gather = "coalesce(string_agg({w}, ' ' ORDER BY pos), '')"
+    filtered = _step(
+        "array_to_string(list_filter(regexp_extract_all(text, '[\\p{L}\\p{N}_]+'), "
+        f"lambda x: NOT list_contains({stop_words()}, lower(x))), ' ')"
+    )
     return {
         "lower_documents": _step("lower(coalesce(text, ''))"),
         "fold_documents": _step("strip_accents(lower(coalesce(text, '')))"),
@@ -196,10 +200,8 @@ def texts() -> dict[str, str]:
         "tokens": r"""WITH t AS (SELECT page_id, regexp_extract_all(html, '[\p{L}\p{N}_]+') AS ts FROM pages)
 SELECT page_id, unnest(range(len(ts)))::INTEGER AS pos, unnest(ts) AS token FROM t""",
         "min_length_filter": _step(f"array_to_string({tokens_of('text', 'length(x) >= 4')}, ' ')"),
-        "stopword_filter": _step(
-            "array_to_string(list_filter(regexp_extract_all(text, '[\\p{L}\\p{N}_]+'), "
-            f"lambda x: NOT list_contains({stop_words()}, lower(x))), ' ')"
-        ),
+        "stopword_filter": filtered,
+        "stopword_filter_by_code": filtered,
         "custom_stopword_antijoin": f"""{with_(tokenized(), words)}
 SELECT d.doc_id, {gather.format(w='token')} AS result FROM docs d LEFT JOIN (
   SELECT * FROM ({spread}) WHERE token NOT IN (SELECT word FROM words WHERE length(word) <= 3)) t USING (doc_id)
@@ -362,6 +364,25 @@ SELECT doc_id, class, {number('p', 'probability')} FROM scored_p""",
         "nb_best_parameters": f"""{search} SELECT alpha, fit_prior, {number('avg(f1_score)', 'mean_f1')},
 {number('stddev_pop(f1_score)', 'std_f1')} FROM summary GROUP BY alpha, fit_prior
 ORDER BY round(avg(f1_score), 12) DESC, alpha, fit_prior DESC LIMIT 1""",
+        "nb_holdout_report": f"""{search},
+best AS (SELECT alpha, fit_prior, avg(f1_score) AS mean_f1, stddev_pop(f1_score) AS std_f1 FROM summary GROUP BY alpha, fit_prior
+  ORDER BY round(avg(f1_score), 12) DESC, alpha, fit_prior DESC LIMIT 1),
+train_class AS (SELECT label, count(*) AS n FROM train GROUP BY label),
+train_sum AS (SELECT c.label, v.idx, coalesce(sum(f.weight), 0) AS w FROM train_class c CROSS JOIN vocab v
+  LEFT JOIN (SELECT idx, label, weight FROM feats WHERE split = 'train') f ON f.idx = v.idx AND f.label = c.label GROUP BY ALL),
+tuned AS (SELECT label, idx, ln(w + alpha) - ln(sum(w) OVER g + alpha * count(*) OVER g) AS logp
+  FROM train_sum CROSS JOIN best WINDOW g AS (PARTITION BY label)),
+test_sum AS (SELECT f.doc_id, m.label AS class, sum(f.weight * m.logp) AS s FROM feats f JOIN tuned m USING (idx)
+  WHERE f.split = 'test' GROUP BY ALL),
+test_joint AS (SELECT d.doc_id, d.label, c.label AS class, coalesce(s.s, 0) + CASE WHEN fit_prior
+    THEN ln(c.n / (SELECT sum(n) FROM train_class)) ELSE -ln((SELECT count(*) FROM train_class)) END AS j
+  FROM docs d CROSS JOIN train_class c CROSS JOIN best LEFT JOIN test_sum s ON s.doc_id = d.doc_id AND s.class = c.label
+  WHERE d.split = 'test' AND d.label IS NOT NULL),
+test_guess AS (SELECT doc_id, any_value(label) AS label, arg_max(class, j) AS prediction FROM test_joint GROUP BY doc_id),
+report AS (WITH {metrics("test_guess")} SELECT * FROM summary)
+SELECT alpha, fit_prior, {number('mean_f1', 'mean_f1')}, {number('std_f1', 'std_f1')}, {number('accuracy', 'held_out_accuracy')},
+  {number('precision', 'held_out_precision')}, {number('recall', 'held_out_recall')}, {number('f1_score', 'held_out_f1_score')}
+FROM best CROSS JOIN report""",
         "nb_learning_curve": f"""{curved} SELECT train_size, fold, {number('train_f1', 'train_f1')},
 {number('test_f1', 'test_f1')} FROM curve""",
         "learning_curve_summary": f"{curved} SELECT 'Naive Bayes' AS model, train_size, {stats} FROM curve GROUP BY train_size",
@@ -375,6 +396,8 @@ FROM corpus GROUP BY label)"""
         "balanced_class_weights": f"{weights} SELECT label, {number('w', 'class_weight')} FROM w",
         "class_weighted_documents": f"{weights} SELECT doc_id, label, {number('w', 'class_weight')} FROM corpus JOIN w USING (label)",
         "stratified_folds": f"{with_(corpus(), folds('corpus'))} SELECT doc_id, label, fold FROM folds",
+        "random_split": f"""{with_(corpus())} SELECT doc_id, label,
+CASE WHEN ('0x' || substr(md5('7:' || doc_id), 1, 8))::BIGINT % 10000 < 2500 THEN 'test' ELSE 'train' END AS split FROM corpus""",
         "stratified_sample": f"""{with_(corpus('source'))},
 share AS (SELECT label, 777 * count(*) / sum(count(*)) OVER () AS x FROM corpus GROUP BY label),
 quota AS (SELECT label, floor(x) + CASE WHEN row_number() OVER (ORDER BY floor(x) - x, label)
@@ -440,6 +463,10 @@ points AS ({points.format(c='class, ', d='class, ')} FROM (SELECT DISTINCT class
         "average_precision": f"""{source}, {curves()}, ap AS (SELECT class,
 sum(CASE WHEN tp_total > 0 THEN pos / tp_total ELSE 0.0 END * (tp / (tp + fp))) AS x FROM cum GROUP BY class) SELECT class, {number('x', 'average_precision')} FROM ap""",
         "model_comparison": f"{comparison} SELECT * FROM comparison",
+        "comparison_without_probability": f"""{comparison} SELECT * REPLACE (CASE WHEN "Model" = 'Multinomial' THEN "ROC AUC" END AS "ROC AUC")
+FROM comparison WHERE "Model" <> 'Uniform prior'""",
+        "timings_unpivot": f"""{comparison} SELECT "Model", "Metric", true AS measured FROM comparison
+CROSS JOIN (VALUES ('Training Time (s)'), ('Prediction Time (s)')) AS t("Metric")""",
         "best_model": f'{comparison} SELECT "Model", "F1 Score" FROM comparison ORDER BY "F1 Score" DESC, "Model" LIMIT 1',
         "metrics_unpivot": f"{comparison} {unpivoted}",
         "metric_matrix": f"{comparison} SELECT * FROM comparison",

@@ -249,6 +249,13 @@ def stopword_filter(spark, folder):
     return step(documents(spark, folder), "doc_id", "text", kept)
 
 
+@query
+def stopword_filter_by_code(spark, folder):
+    """The list is named by a language code in capitals."""
+    kept = lambda c: F.array_join(tx.drop_stopwords(tx.tokenize(c), tuple(load_stopwords("EN"))), " ")
+    return step(documents(spark, folder), "doc_id", "text", kept)
+
+
 def benchmark_words(spark, folder):
     rows = io.read_table(spark, folder, "benchmark", ["item_id", "text"], "item_id")
     return rows.select(F.explode(tx.tokenize(tx.normalize(F.col("text")))).alias("word")).distinct()
@@ -437,6 +444,15 @@ def nb_best_parameters(spark, folder):
     return sel.best_point(nb_grid_search(spark, folder), ["alpha", "fit_prior"])
 
 
+@query
+def nb_holdout_report(spark, folder):
+    """The best point of the search, and how its model does on the test split."""
+    b = Bayes(rated(spark, folder))
+    docs, features = folded(b)
+    results = sel.naive_bayes_grid(features, docs, b.extractor.size, b.sizes, max_features=b.extractor.size)
+    return sel.tuned_naive_bayes(results, b.train, b.sizes, b.extractor.size, (b.test, part(b.docs, "test")))[1]
+
+
 @query
 def nb_learning_curve(spark, folder):
     b = Bayes(rated(spark, folder))
@@ -478,6 +494,11 @@ def stratified_sample(spark, folder):
     return sel.stratified_sample(docs, 777)
 
 
+@query
+def random_split(spark, folder):
+    return io.random_split(documents(spark, folder).select("doc_id", "label"), test_share=0.25, seed=7)
+
+
 # Evaluation ------------------------------------------------------------------------------------------
 
 
@@ -566,6 +587,29 @@ def model_comparison(spark, folder):
     return mt.compare_models(io.union_splits(*scored), b.classes).drop("Training Time (s)", "Prediction Time (s)")
 
 
+@query
+def comparison_without_probability(spark, folder):
+    """Models that give labels only have no area; the others keep theirs."""
+    b = Bayes(rated(spark, folder))
+    multinomial, complement = b.scored(), b.scored(b.fit(variant="complement")).drop("probability")
+    scored = (multinomial.withColumn("model", F.lit("Multinomial")), complement.withColumn("model", F.lit("Complement")))
+    return mt.compare_models(io.union_splits(*scored), b.classes).drop("Training Time (s)", "Prediction Time (s)")
+
+
+@query
+def timings_unpivot(spark, folder):
+    """Which times each model has: the times themselves differ from run to run."""
+    b = Bayes(rated(spark, folder))
+    scored, times = [], []
+    for name, params in NAIVE_BAYES_MODELS.items():
+        model = b.fit(**params)
+        scored.append(model.timed_predict(b.test, part(b.docs, "test")).withColumn("model", F.lit(name)))
+        times.append((name, model.training_time, model.prediction_time))
+    timings = spark.createDataFrame(times, "model string, training_time double, prediction_time double")
+    table = mt.long_timings(mt.compare_models(io.union_splits(*scored), b.classes, timings))
+    return table.select("Model", "Metric", (F.col("Time (s)") > 0).alias("measured"))
+
+
 @query
 def best_model(spark, folder):
     return mt.best_model(model_comparison(spark, folder)).select("Model", "F1 Score")
