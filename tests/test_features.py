@@ -85,3 +85,32 @@ def test_document_terms_need_no_exchange(spark):
     docs = frame(spark).repartition(4, "doc_id").withColumn("tokens", F.split("text", " "))
     plan = FeatureExtractor().term_table(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1  # the repartition above
+
+
+def test_common_terms_are_found_without_counting_all(spark):
+    """Bounds by bucket leave few terms to count, and the vocabulary is that of counting all of them."""
+    words = [f"w{i:03d}" for i in range(400)]
+    texts = [" ".join(words[(i * i + j * j * (i % 7 + 1)) % (20 if j % 2 else 400)] for j in range(60)) for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for size in (15, 40):
+        extractor = FeatureExtractor(max_features=size, max_df=0.9)
+        counted = extractor.frequent(docs)
+        assert size <= counted.count() < extractor.document_frequency(docs).count() / 2
+        want = sorted(tuple(r) for r in extractor.ranked_vocabulary(docs).collect())
+        assert sorted(tuple(r) for r in extractor.fit(docs).vocabulary.collect()) == want
+
+
+def test_tokens_may_be_a_string_and_keys_may_repeat(spark):
+    """Rows of one key share their norm; tokens of one character or missing ones are no terms; null rows have none."""
+    rows = [(1, ["aa", "bb", "aa"]), (1, ["aa"]), (2, ["bb", "c", "aa"]), (None, ["bb"]), (3, None), (4, [])]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    extractor = FeatureExtractor(ngram_range=(1, 2), min_df=1, max_df=1.0).fit(docs)
+    got = sorted(((r.doc_id or 0, r.term, r.tf, round(r.weight, 9)) for r in extractor.transform(docs).collect()))
+    joined = docs.withColumn("tokens", F.array_join("tokens", " "))
+    again = FeatureExtractor(ngram_range=(1, 2), min_df=1, max_df=1.0).fit(joined).transform(joined)
+    assert sorted(((r.doc_id or 0, r.term, r.tf, round(r.weight, 9)) for r in again.collect())) == got
+    squares = {}
+    for key, _, _, weight in got:
+        squares[key] = squares.get(key, 0) + weight**2
+    assert [(k, t, n) for k, t, n, _ in got] == [(0, "bb", 1), (1, "aa", 1), (1, "aa", 2), (1, "aa bb", 1), (1, "bb", 1), (1, "bb aa", 1), (2, "aa", 1), (2, "bb", 1), (2, "bb aa", 1)]
+    assert all(abs(s - 1) < 1e-6 for s in squares.values())
