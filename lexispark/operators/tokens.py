@@ -1,6 +1,6 @@
 """Token steps that need another table: large stop lists and lemma dictionaries.
 
-Both number the tokens once and change ids (see ``dictionary``). Whoever takes several such steps keeps the encoded documents in between.
+Both number the tokens once and change ids (see ``dictionary``), unless a stop list is short. Whoever takes several such steps keeps the encoded documents in between.
 """
 
 from __future__ import annotations
@@ -10,12 +10,21 @@ from pyspark.sql import functions as F
 
 from .dictionary import TokenDictionary
 
+SHORT_LIST = 10_000
+"""Longest list that is looked up in the row; a longer one goes through the dictionary."""
+
 
 def drop_listed(docs: DataFrame, words: DataFrame, key: str = "doc_id", tokens: str = "tokens", dictionary: TokenDictionary | None = None) -> DataFrame:
     """Drop tokens that occur in the table ``words(word)``, ignoring the tokens' case; ``dictionary`` must have all tokens.
 
-    For lists too large for an expression; short lists belong in ``drop_stopwords``.
+    A list of up to ``SHORT_LIST`` words is counted and then a set that every task holds: no dictionary of the tokens is made and nothing is shuffled.
     """
+    if dictionary is None:
+        # one more than the limit at most
+        found = words.select("word").where("word IS NOT NULL").distinct().limit(SHORT_LIST + 1).collect()
+        if len(found) <= SHORT_LIST:
+            listed, every = sorted(r.word for r in found), F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+            return docs.withColumn(tokens, F.filter(every, lambda w: w.isNull() | ~F.lower(w).isin(listed)) if listed else every)
     known = dictionary or TokenDictionary.fit(docs, tokens)
     return known.decode(known.changed(known.encode(docs, key, tokens), known.without(words), key, tokens), key, tokens)
 

@@ -94,3 +94,15 @@ def test_dictionary_equals_plain_lookups(spark, monkeypatch, head, limit):
     assert got == {i: [lemmas.get(t, t) for t in x or []] for i, x, _ in rows}
     other = spark.createDataFrame([(1, ["the", "never", "W5"])], "doc_id bigint, tokens array<string>")
     assert known.encode(other).first().tokens == [table["the"][0], dictionary.UNKNOWN, table["W5"][0]]
+
+
+def test_short_lists_are_dropped_inside_the_row(spark, monkeypatch):
+    """Nothing is shuffled for a short list (before: a dictionary of all tokens), and a long one gives the same."""
+    docs = spark.createDataFrame([(1, ["Ab", "cd", None, "ef"]), (1, ["cd"]), (2, None), (3, [])], "doc_id bigint, tokens array<string>")
+    words = spark.createDataFrame([("ab",), ("ef",), ("ef",), (None,), ("Cd",)], "word string")
+    kept = drop_listed(docs, words)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    found = sorted(kept.collect(), key=str)
+    assert [r.tokens for r in found if r.doc_id == 1] == [["cd", None], ["cd"]]
+    monkeypatch.setattr("lexispark.operators.tokens.SHORT_LIST", 2)
+    assert sorted(drop_listed(docs, words).collect(), key=str) == found
