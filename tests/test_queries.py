@@ -52,3 +52,9 @@ def test_contract():
         "decision_tree", "tree_nodes", "maxent", "maxent_coefficients", "linear_svm_calibrated", "random_forest",
         "forest_importances", "grid_search_ml", "grid_search_maxent", "grid_search_svm", "pca_projection", "svd_projection",
     }
+
+
+def test_ngrams_are_added_up_before_the_shuffle(spark, sf_dir):
+    """Tasks count the n-grams of their rows in batches (before: one row for every occurrence)."""
+    plan = QUERIES["ngrams_up_to_three"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan

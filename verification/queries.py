@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from lexispark.config import RunConfig
 from lexispark.functions import text as tx
-from lexispark.functions.arrays import ngrams
 from lexispark.functions.stopwords import load_stopwords
 from lexispark.operators import corpus_stats as cs
 from lexispark.operators import metrics as mt
 from lexispark.operators import selection as sel
 from lexispark.operators.classifiers import CLASSIFIERS, RUN_PARAMETERS, SEARCH_GRIDS
 from lexispark.operators.exact_tree import ExactTree
-from lexispark.operators.features import FeatureExtractor, shapes
+from lexispark.operators.features import FeatureExtractor, gram_totals, shapes
 from lexispark.operators.labels import balanced_weights, class_sizes, class_table
 from lexispark.operators.naive_bayes import NaiveBayes
 from lexispark.operators.projection import project
@@ -297,9 +296,7 @@ def processed_samples(spark, folder):
 
 @query
 def ngrams_up_to_three(spark, folder):
-    docs = clean(documents(spark, folder))
-    terms = docs.select(F.explode(ngrams(F.col("tokens"), 1, 3)).alias("term"))
-    return terms.groupBy("term").agg(F.count("*").alias("n"))
+    return gram_totals(clean(documents(spark, folder)), F.col("tokens"), 1, 3).select("term", F.col("cf").alias("n"))
 
 
 @query
