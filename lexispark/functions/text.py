@@ -24,11 +24,11 @@ DIGIT_PATTERN = r"\p{Nd}+"
 NON_LETTER_PATTERN = rf"[^\p{{L}}\p{{Nl}}\p{{No}}_{BLANK}]+"
 BLANKS_PATTERN = rf"[{BLANK}]+"
 
-_HANGUL_FIRST, _HANGUL_LAST = 0xAC00, 0xD7A3
+HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
 
 
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, str, tuple[str, ...]]:
+def fold_tables() -> tuple[str, str, str, tuple[str, ...]]:
     """Compatibility decomposition without combining marks, derived from ``unicodedata``.
 
     Returns the two ``translate`` arguments for one-to-one folds (marks map to nothing), and
@@ -36,7 +36,7 @@ def _fold_tables() -> tuple[str, str, str, tuple[str, ...]]:
     """
     source, target, marks, wide, expansion = [], [], [], [], []
     for code in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF or _HANGUL_FIRST <= code <= _HANGUL_LAST:
+        if 0xD800 <= code <= 0xDFFF or HANGUL_FIRST <= code <= HANGUL_LAST:
             continue
         char = chr(code)
         if unicodedata.category(char) == "Mn":
@@ -72,7 +72,7 @@ def _class_around(chars: str, gap: int = 32) -> str:
 
 def _expand_wide(text: Column) -> Column:
     """Replace characters that decompose into several; only rows that hold one get here."""
-    _, _, wide, expansion = _fold_tables()
+    _, _, wide, expansion = fold_tables()
     table = F.split(F.lit("\x00".join(expansion)), "\x00")
     return F.array_join(
         F.transform(
@@ -87,7 +87,7 @@ def _expand_hangul(text: Column) -> Column:
     """Split composed Hangul syllables into jamo with the standard's arithmetic rule."""
 
     def jamo(code: Column) -> Column:
-        s = code - _HANGUL_FIRST
+        s = code - HANGUL_FIRST
         tail = F.pmod(s, F.lit(28))
         parts = F.concat(
             F.hex(F.floor(s / 588) + 0x1100),
@@ -99,7 +99,7 @@ def _expand_hangul(text: Column) -> Column:
     return F.array_join(
         F.transform(
             F.split(text, ""),
-            lambda ch: F.when(ch.between(chr(_HANGUL_FIRST), chr(_HANGUL_LAST)), jamo(F.ascii(ch))).otherwise(ch),
+            lambda ch: F.when(ch.between(chr(HANGUL_FIRST), chr(HANGUL_LAST)), jamo(F.ascii(ch))).otherwise(ch),
         ),
         "",
     )
@@ -115,7 +115,7 @@ def fold_unicode(text: Column) -> Column:
     Most Latin texts are ASCII after the one-to-one folds; only the others are searched for
     characters that decompose into several.
     """
-    source, target, wide, _ = _fold_tables()
+    source, target, wide, _ = fold_tables()
 
     def expand(c: Column) -> Column:
         return let(
@@ -161,9 +161,14 @@ def collapse_blanks(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, BLANKS_PATTERN, " "))
 
 
+def _letters(folded: Column) -> Column:
+    """What is left of a folded text without URLs, tags, punctuation and digits."""
+    return F.regexp_replace(remove_tags(remove_urls(folded)), NON_LETTER_PATTERN, "")
+
+
 def _letters_and_blanks(text: Column) -> Column:
     """Every normalisation step but the last; blanks are still uneven."""
-    return F.regexp_replace(remove_tags(remove_urls(fold_unicode(lower_text(text)))), NON_LETTER_PATTERN, "")
+    return _letters(fold_unicode(lower_text(text)))
 
 
 def normalize(text: Column) -> Column:
@@ -192,15 +197,24 @@ def drop_stopwords(tokens: Column, stopwords: Sequence[str]) -> Column:
     return F.filter(tokens, lambda w: ~F.lower(w).isin(words)) if words else tokens
 
 
-def clean_tokens(text: Column, stopwords: Sequence[str] = (), min_length: int = 2) -> Column:
-    """The whole per-document chain from raw text to kept tokens, as one narrow expression."""
+def _kept(letters: Column, stopwords: Sequence[str], min_length: int) -> Column:
     words = sorted(set(stopwords))
 
     def keep(w: Column) -> Column:
         long_enough = F.length(w) >= max(min_length, 1)
         return long_enough & ~F.lower(w).isin(words) if words else long_enough
 
-    return F.filter(F.split(_letters_and_blanks(text), BLANKS_PATTERN), keep)
+    return F.filter(F.split(letters, BLANKS_PATTERN), keep)
+
+
+def clean_tokens(text: Column, stopwords: Sequence[str] = (), min_length: int = 2) -> Column:
+    """The whole per-document chain from raw text to kept tokens, as one narrow expression."""
+    return _kept(_letters_and_blanks(text), stopwords, min_length)
+
+
+def kept_tokens(folded: Column, stopwords: Sequence[str] = (), min_length: int = 2) -> Column:
+    """The rest of the chain for texts that are in lower case and folded."""
+    return _kept(_letters(folded), stopwords, min_length)
 
 
 def process_text(text: Column, stopwords: Sequence[str] = (), min_length: int = 2) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -52,7 +51,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa
             rows = np.repeat(np.arange(piece.num_rows), lists.value_lengths().fill_null(0).to_numpy())
             flat = lists.flatten()
             long_enough = pc.greater_equal(pc.utf8_length(flat), 2).fill_null(False)
-            yield piece, flat.filter(long_enough), rows[long_enough.to_numpy(zero_copy_only=False)]
+            if pc.all(long_enough).as_py() is False:
+                flat, rows = flat.filter(long_enough), rows[long_enough.to_numpy(zero_copy_only=False)]
+            yield piece, flat, rows
             first = last
 
 
@@ -108,10 +109,25 @@ BUCKETS, BLOCK = 1 << 19, 1 << 15
 """Counters that bound the occurrences of a term from above, and how many of them travel together."""
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A number of 64 bits for each string, from its bytes alone."""
+    words = words.cast(pa.large_binary())
+    edges = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    lengths = np.diff(edges)
+    if not lengths.sum():
+        return np.zeros(len(words), np.uint64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+    place = np.arange(len(data)) - np.repeat(edges[:-1] - edges[0], lengths)
+    powers = np.cumprod(np.full(lengths.max(), 0x9E3779B97F4A7C15, np.uint64))
+    sums = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[place]))[edges - edges[0]]
+    mixed = np.diff(sums)
+    return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def _buckets(flat: pa.Array, rows: np.ndarray, lo: int, hi: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """For every n: first tokens of the n-grams and the bucket of each, which depends on its words only."""
     encoded = flat.dictionary_encode()
-    words = np.array([zlib.crc32(w.encode()) for w in encoded.dictionary.to_pylist()], np.uint64)
+    words = _hashes(encoded.dictionary)
     each = words[encoded.indices.to_numpy()] if len(flat) else np.zeros(0, np.uint64)
     out, mixed = [], each.copy()
     for n in range(1, hi + 1):
@@ -298,14 +314,18 @@ class FeatureExtractor:
         )
 
     def _in_row(self, docs: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """The feature table by looking the vocabulary up inside the row: a shuffle moves one row a document, and only for its norm."""
+        """The feature table by looking the vocabulary up inside the row: nothing is shuffled unless keys repeat, and then one row a document for its norm."""
         lo, hi = self.ngram_range
         # at most ``IN_ROW_TERMS`` rows
         table = self._fitted().select("term", "idx", "idf").orderBy("idx").toArrow()
         terms, weights, size = table.column("term").combine_chunks(), table.column("idf").to_numpy(), self.size
         kept = [self.key, *[c for c in keep if c != self.key]]
         types = {f.name: f.dataType.simpleString() for f in docs.schema}
-        schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", _gram_idx array<int>, _gram_tf array<int>, _gram_raw array<double>, _gram_sq double"
+        counted = self.method == "count"
+        # rows of one key are one document; only the keys are read for this
+        alone = counted or docs.groupBy(self.key).count().where("count > 1").isEmpty()
+        found = "_gram_idx int, _gram_tf int, _gram_weight double" if alone else "_gram_idx array<int>, _gram_tf array<int>, _gram_raw array<double>, _gram_sq double"
+        schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + f", {found}"
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for piece, flat, rows in _pieces(batches, "_gram_tokens"):
@@ -316,22 +336,26 @@ class FeatureExtractor:
                 places, tf = _distinct(places)
                 of, idx = places // size, places % size
                 raw = (1 + np.log(tf)) * weights[idx]
+                squares = np.bincount(of, raw * raw, piece.num_rows).astype(float)
+                numbers = [pa.array(idx, pa.int32()), pa.array(tf, pa.int32())]
+                if alone:
+                    weight = tf.astype(float) if counted else raw / np.sqrt(squares)[of]
+                    repeated = [piece.column(c).take(pa.array(of)) for c in kept]
+                    yield pa.RecordBatch.from_arrays([*repeated, *numbers, pa.array(weight)], [*kept, "_gram_idx", "_gram_tf", "_gram_weight"])
+                    continue
                 edges = pa.array(np.searchsorted(of, np.arange(piece.num_rows + 1)), pa.int32())
-                lists = [pa.ListArray.from_arrays(edges, pa.array(x, t)) for x, t in ((idx, pa.int32()), (tf, pa.int32()), (raw, pa.float64()))]
-                squares = pa.array(np.bincount(of, raw * raw, piece.num_rows).astype(float))
+                lists = [pa.ListArray.from_arrays(edges, x) for x in (*numbers, pa.array(raw))]
                 names = [*kept, "_gram_idx", "_gram_tf", "_gram_raw", "_gram_sq"]
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *lists, squares], names)
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *lists, pa.array(squares)], names)
 
         rows = docs.select(*kept, self._raw_tokens(docs).alias("_gram_tokens")).mapInArrow(look_up, schema)
-        if self.method == "count":
-            weight = F.col("e.tf").cast("double")
+        if alone:
+            long = rows.select(*kept, F.col("_gram_idx").alias("idx"), F.col("_gram_tf").alias("tf"), F.col("_gram_weight").alias("weight"))
         else:
-            # rows of one key are one document
             rows = rows.withColumn("_gram_norm", F.sqrt(F.sum("_gram_sq").over(W.partitionBy(self.key))))
+            entry = F.explode(F.arrays_zip(F.col("_gram_idx").alias("idx"), F.col("_gram_tf").alias("tf"), F.col("_gram_raw").alias("raw"))).alias("e")
             weight = F.col("e.raw") / F.col("_gram_norm")
-        entry = F.explode(F.arrays_zip(F.col("_gram_idx").alias("idx"), F.col("_gram_tf").alias("tf"), F.col("_gram_raw").alias("raw"))).alias("e")
-        passed = [c for c in kept] + ([] if self.method == "count" else ["_gram_norm"])
-        long = rows.select(*passed, entry).select(*kept, "e.idx", "e.tf", weight.alias("weight"))
+            long = rows.select(*kept, "_gram_norm", entry).select(*kept, "e.idx", "e.tf", weight.alias("weight"))
         return long.join(F.broadcast(self._fitted().select("idx", "term")), "idx")
 
     def fit_transform(self, docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -20,10 +20,12 @@ VARIANTS = ("multinomial", "complement")
 def class_sums(features: DataFrame, classes: list, by: Sequence[str] = (), label: str = "label") -> DataFrame:
     """Weight of every term per class: column ``n`` is an array in class order.
 
-    Sums are combined before the shuffle, so a frequent term costs one row per task.
+    Sums are combined before the shuffle, so a frequent term costs one row per task and class. They are added by hash: an aggregate that
+    picks a string, as the name of a term, sorts its rows, and is left to the few sums.
     """
-    sums = [F.sum(F.when(F.col(label) == F.lit(c), F.col("weight")).otherwise(0.0)) for c in classes]
-    return features.groupBy(*by, "idx").agg(F.any_value("term").alias("term"), F.array(*sums).alias("n"))
+    each = features.groupBy(*by, "idx", "term", label).agg(F.sum("weight").alias("w"))
+    sums = [F.sum(F.when(F.col(label) == F.lit(c), F.col("w")).otherwise(0.0)) for c in classes]
+    return each.groupBy(*by, "idx").agg(F.any_value("term").alias("term"), F.array(*sums).alias("n"))
 
 
 def array_sums(values: str, size: int) -> Column:

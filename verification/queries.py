@@ -16,6 +16,7 @@ from lexispark.operators import corpus_stats as cs
 from lexispark.operators import metrics as mt
 from lexispark.operators import selection as sel
 from lexispark.operators.classifiers import CLASSIFIERS, RUN_PARAMETERS, SEARCH_GRIDS
+from lexispark.operators.cleanup import processed
 from lexispark.operators.exact_tree import ExactTree
 from lexispark.operators.features import FeatureExtractor, gram_totals, shapes
 from lexispark.operators.labels import balanced_weights, class_sizes, class_table
@@ -69,7 +70,7 @@ def clean(docs: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """``clean``, written once for queries that read the tokens several times: a string with blanks between them."""
-    return written(docs.withColumn("tokens", tx.process_text(F.col("text"), stop_list())).drop("text"), "tokens")
+    return written(processed(docs, stop_list()), "tokens")
 
 
 def part(docs: DataFrame, split: str) -> DataFrame:
